@@ -10,7 +10,7 @@ from roomtrace.operators.splitting import Limits
 
 KEYS = ["house_id", "doc_no"]
 # Changes per document; a house gets as many documents as it needs.
-CHANGES = 256
+CHANGES = 32
 
 
 def _element(tag: str, **attributes: Column) -> Column:
