@@ -105,6 +105,7 @@ class Slices:
         if self.hot:
             cut = self.of_hot_groups(df)
             self._second = _too_large(cut, [*keys, "c1"], ["us"], limits)
+        if self._second is not None:
             self._third = _too_large(self.of_hot_groups(df), self.cell, over or [], limits)
 
     @property

@@ -29,8 +29,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIELDS = ["event_id", "house_id", *S.LINE_FIELDS]
 
 
-def on_readings(job: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: job(device_events(use_utc(spark), sf_dir))
+def on_readings(
+    job: Callable[[DataFrame], DataFrame], properties: list[str] | None = None, reading: str | None = None
+) -> Query:
+    return lambda spark, sf_dir: job(device_events(use_utc(spark), sf_dir, properties, reading))
+
+
+def on_presence(job: Callable[[DataFrame], DataFrame], reading: str | None = None) -> Query:
+    return on_readings(job, [S.PRESENCE], reading)
 
 
 # --- lines ---------------------------------------------------------------
@@ -154,6 +160,10 @@ def _rules(test: str | None) -> Callable[[DataFrame], DataFrame]:
     return lambda d: counts.status_counts(d, wanted).select(*_RULE_COLUMNS)
 
 
+def _properties(test: str) -> list[str]:
+    return [r[2] for r in STATUS_RULES if r[3] == test]
+
+
 def _activity(group: str | None) -> Callable[[DataFrame], DataFrame]:
     return lambda d: counts.area_activity(d, group)
 
@@ -212,27 +222,31 @@ QUERIES: dict[str, Query] = {
     "behaviour_to_events": on_readings(_behaviour_to_events),
     "file_gate": _file_gate,
     "csv_roundtrip": _csv_roundtrip,
-    "presence_on_rows": on_readings(lambda d: counts.presence_rows(d, "kitchen").select(*FIELDS)),
-    "value_alarm_rows": on_readings(lambda d: counts.alarm_rows(d, S.TEMPERATURE, "kitchen", 200).select(*FIELDS)),
-    "status_count": on_readings(_rules("=")),
-    "value_alarm_count": on_readings(_rules(">")),
+    "presence_on_rows": on_presence(lambda d: counts.presence_rows(d, "kitchen").select(*FIELDS), S.ON),
+    "value_alarm_rows": on_readings(
+        lambda d: counts.alarm_rows(d, S.TEMPERATURE, "kitchen", 200).select(*FIELDS), [S.TEMPERATURE]
+    ),
+    "status_count": on_readings(_rules("="), _properties("=")),
+    "value_alarm_count": on_readings(_rules(">"), _properties(">")),
     "rule_counts": on_readings(_rules(None)),
-    "area_activity_bedroom": on_readings(_activity("bedroom")),
-    "area_activity_bathroom": on_readings(_activity("bathroom")),
-    "area_activity_kitchen": on_readings(_activity("kitchen")),
-    "area_activity_livingroom": on_readings(_activity("livingroom")),
-    "presence_count": on_readings(counts.presence_counts),
-    "running_presence_count": on_readings(lambda d: ordering.running_presence(d).select("key", "event_id", "n")),
-    "movement_transitions": on_readings(movements),
-    "visits_all": on_readings(visits),
+    "area_activity_bedroom": on_readings(_activity("bedroom"), [S.POWER, S.PRESENCE, S.DOOR]),
+    "area_activity_bathroom": on_readings(_activity("bathroom"), [S.POWER, S.PRESENCE]),
+    "area_activity_kitchen": on_readings(_activity("kitchen"), [S.POWER, S.PRESENCE]),
+    "area_activity_livingroom": on_readings(_activity("livingroom"), [S.POWER, S.PRESENCE]),
+    "presence_count": on_presence(counts.presence_counts, S.ON),
+    "running_presence_count": on_presence(
+        lambda d: ordering.running_presence(d).select("key", "event_id", "n"), S.ON
+    ),
+    "movement_transitions": on_presence(movements, S.ON),
+    "visits_all": on_presence(visits),
     **{
-        f"visits_{name}": on_readings(lambda d, area=area: visits(d, [area])) for name, area in VISIT_AREAS.items()
+        f"visits_{name}": on_presence(lambda d, area=area: visits(d, [area])) for name, area in VISIT_AREAS.items()
     },
     "sorted_events": on_readings(lambda d: ordering.sorted_events(d).select(*FIELDS, "rn")),
     "first_event": on_readings(lambda d: ordering.first_event(d).select(*FIELDS)),
     "report_lines": on_readings(_report_lines),
-    "movement_lines": on_readings(lambda d: reports.movement_lines(movements(d))),
-    "visit_lines": on_readings(lambda d: reports.visit_lines(visits(d, list(reports.VISIT_PLACES)))),
+    "movement_lines": on_presence(lambda d: reports.movement_lines(movements(d)), S.ON),
+    "visit_lines": on_presence(lambda d: reports.visit_lines(visits(d, list(reports.VISIT_PLACES)))),
     "land_stream": _land_stream,
     "stream_status_count": _stream_status_count,
     "stream_area_activity": _batch_job("area_activity"),

@@ -113,6 +113,18 @@ def rejected_documents(parsed: DataFrame, keys: list[str]) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select(*keys, "reason")
 
 
+def _elements(parsed: DataFrame, keys: list[str], values: Column) -> DataFrame:
+    """(keys, start_ts, pos, x) of the usable documents.
+
+    Documents are left out inside and after the explode: a filter below it
+    would be pushed to the scan and parse each document once more per condition.
+    """
+    usable = F.when(F.col("reason").isNull(), values)
+    return parsed.select(*keys, "start_ts", F.posexplode_outer(usable).alias("pos", "x")).filter(
+        F.col("pos").isNotNull()
+    )
+
+
 def prefix_delays(elements: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``elapsed``, the sum of the delays of a document up to ``pos``.
 
@@ -124,9 +136,7 @@ def prefix_delays(elements: DataFrame, keys: list[str]) -> DataFrame:
 
 def delay_list(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, pos, delay, elapsed, at_ts) of all delays of the usable documents."""
-    exploded = parsed.filter(F.col("reason").isNull()).select(
-        *keys, "start_ts", F.posexplode("delays").alias("pos", "delay")
-    )
+    exploded = _elements(parsed, keys, F.col("delays")).withColumnRenamed("x", "delay")
     return prefix_delays(exploded, keys).select(*keys, "pos", "delay", "elapsed", _at().alias("at_ts"))
 
 
@@ -154,11 +164,7 @@ def paired_changes(parsed: DataFrame, keys: list[str]) -> DataFrame:
             ).alias("zones"),
         ),
     )
-    exploded = (
-        parsed.filter(F.col("reason").isNull())
-        .select(*keys, "start_ts", F.posexplode(paired).alias("pos", "x"))
-        .select(*keys, "start_ts", "pos", "x.*")
-    )
+    exploded = _elements(parsed, keys, paired).select(*keys, "start_ts", "pos", "x.*")
     return prefix_delays(exploded, keys).select(
         *keys,
         "pos",

@@ -29,7 +29,7 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
                        ["house_id"], name="rn", limits=limits)
     # Groups hold at most ``changes`` rows, whatever the size of a house.
     lists = (
-        ranked.withColumn("doc_no", F.floor((F.col("rn") - 1) / changes))
+        ranked.withColumn("doc_no", F.expr(f"(rn - 1) div {changes}"))
         .groupBy(*KEYS)
         .agg(
             F.array_sort(

@@ -23,6 +23,10 @@ AREAS = [
     "hallway",
 ]
 
+# The event types that can carry a property; the others come as "error".
+EVENT_TYPES = {S.PRESENCE: ["view", "click"], S.POWER: ["purchase"], S.DOOR: ["signup"]}
+ON_FROM = 35.0
+
 
 def read_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(S.RAW_EVENTS).parquet(f"{sf_dir}/events.parquet")
@@ -45,7 +49,7 @@ def as_device_events(raw: DataFrame) -> DataFrame:
     )
     reading = F.when(
         (kind == "error") & (k % 4 != 3), F.floor(F.col("value") * 10).cast("bigint").cast("string")
-    ).otherwise(F.when(F.col("value") >= 35.0, S.ON).otherwise(S.OFF))
+    ).otherwise(F.when(F.col("value") >= ON_FROM, S.ON).otherwise(S.OFF))
     return raw.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")).select(
         "event_id",
         F.col("user_id").alias("house_id"),
@@ -57,5 +61,19 @@ def as_device_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_device_events(read_raw_events(spark, sf_dir))
+def device_events(
+    spark: SparkSession, sf_dir: str, properties: list[str] | None = None, reading: str | None = None
+) -> DataFrame:
+    """Readings of the event table.
+
+    ``properties`` and ``reading`` (only S.ON) name what the caller will filter
+    for anyway; they leave out events that cannot match, in terms the parquet
+    scan can check itself.
+    """
+    raw = read_raw_events(spark, sf_dir)
+    if properties is not None:
+        kinds = {k for p in properties for k in EVENT_TYPES.get(p, ["error"])}
+        raw = raw.filter(F.col("event_type").isin(sorted(kinds)))
+    if reading == S.ON:
+        raw = raw.filter(F.col("value") >= ON_FROM)
+    return as_device_events(raw)
