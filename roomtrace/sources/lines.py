@@ -66,12 +66,8 @@ def write_lines(events: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_csv(events: DataFrame, path: str, mode: str = "append") -> None:
     """Readings as CSV part files, with event and house id in front of the five fields."""
-    (
-        events.select("event_id", "house_id", *S.LINE_FIELDS)
-        .write.mode(mode)
-        .option("timestampNTZFormat", S.LINE_TIME_FORMAT)
-        .csv(path)
-    )
+    time, *others = S.LINE_FIELDS
+    events.select("event_id", "house_id", line_time(F.col(time)).alias(time), *others).write.mode(mode).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, house_type: str = "string") -> DataFrame:
