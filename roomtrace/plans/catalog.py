@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roomtrace import schema as S
 from roomtrace.functions import expressions as E
@@ -49,7 +49,12 @@ def _sent_lines(d: DataFrame) -> DataFrame:
         F.when(F.col("property_device") == S.DOOR, ",battery").otherwise(""),
         F.when(F.col("property_device") == S.POWER, "\nend of message").otherwise(""),
     )
-    return d.select("event_id", text.alias("value"))
+    return _as_value(d, text)
+
+
+def _as_value(d: DataFrame, text: Column) -> DataFrame:
+    # The explode keeps filters on the text above it, so that it is built once.
+    return d.select("event_id", F.explode(F.array(text)).alias("value"))
 
 
 def _broken_lines(d: DataFrame) -> DataFrame:
@@ -61,7 +66,7 @@ def _broken_lines(d: DataFrame) -> DataFrame:
         .when(F.col("property_device") == S.TEMPERATURE, no_time)
         .otherwise(lines.line_text())
     )
-    return d.select("event_id", text.alias("value"))
+    return _as_value(d, text)
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,33 +22,41 @@ def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     )
 
 
-def _split(lines: DataFrame) -> DataFrame:
-    first_line = F.split(F.col("value"), "\n")[0]
-    fields = F.split(first_line, ",", -1)
-    ts = F.get(F.col("fields"), F.lit(0)).try_cast("timestamp_ntz")
-    reason = F.when(F.size("fields") < len(S.LINE_FIELDS), "short line").when(ts.isNull(), "bad time")
-    return lines.withColumn("fields", fields).withColumn("ts", ts).withColumn("reason", reason)
+def _first_line() -> Column:
+    return F.substring_index("value", "\n", 1)
+
+
+def _reason() -> Column:
+    """Why a line is no reading, NULL for a reading.
+
+    Only plain string functions over ``value``: the condition is evaluated at
+    the scan, before the line is split.
+    """
+    line = _first_line()
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    time = F.substring_index(line, ",", 1).try_cast("timestamp_ntz")
+    return F.when(commas < len(S.LINE_FIELDS) - 1, "short line").when(time.isNull(), "bad time")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Readings of the well-formed lines; fields after the fifth are ignored.
     Other columns of ``lines`` (file, event_id, ...) are kept."""
     kept = [c for c in lines.columns if c != "value"]
-    names = S.LINE_FIELDS[1:]
+    time, *others = S.LINE_FIELDS
     return (
-        _split(lines)
-        .filter(F.col("reason").isNull())
+        lines.filter(_reason().isNull())
+        .withColumn("fields", F.split(_first_line(), ",", -1))
         .select(
             *kept,
-            F.col("ts").alias("event_ts"),
-            *[F.col("fields")[i].alias(name) for i, name in enumerate(names, start=1)],
+            F.col("fields")[0].cast("timestamp_ntz").alias(time),
+            *[F.col("fields")[i].alias(name) for i, name in enumerate(others, start=1)],
         )
     )
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Lines that ``parse_lines`` leaves out, with the reason."""
-    return _split(lines).filter(F.col("reason").isNotNull()).select(*lines.columns, "reason")
+    return lines.withColumn("reason", _reason()).filter(F.col("reason").isNotNull())
 
 
 def line_text() -> Column:
