@@ -11,17 +11,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roomtrace import schema as S
 from roomtrace.functions.expressions import number_value, presence_is, presence_key
-from roomtrace.plans.rules import STATUS_RULES, TOTAL_RULES, status_rules, total_metrics, total_rules
-
-
-def _candidates(events: DataFrame, rules: list[tuple], prop: int, area: int) -> DataFrame:
+from roomtrace.plans.rules import (
+    STATUS_RULES,
+    TOTAL_RULES,
+    report_entries,
+    report_rules,
+    status_rules,
+    total_metrics,
+    total_rules,
+)
+
+
+def _candidates(events: DataFrame, places: set[tuple[str, str]]) -> DataFrame:
     # Stated as literals so that a columnar source can skip other readings.
     return events.filter(
-        F.col("property_device").isin(sorted({r[prop] for r in rules}))
-        & F.col("area").isin(sorted({r[area] for r in rules}))
+        F.col("property_device").isin(sorted({prop for prop, _ in places}))
+        & F.col("area").isin(sorted({area for _, area in places}))
     )
 
 
+def _status_places(rules: list[tuple]) -> set[tuple[str, str]]:
+    return {(r[2], r[5]) for r in rules}
+
+
+def _total_places(rules: list[tuple]) -> set[tuple[str, str]]:
+    return {(r[2], r[4]) for r in rules}
+
+
+def _passes() -> Column:
+    """Whether a reading passes the test of its rule."""
+    above = number_value(F.col("value_property_device")) > F.col("operand").try_cast("double")
+    return F.when(F.col("test") == "=", F.col("value_property_device") == F.col("operand")).otherwise(above)
+
+
 def _hits(events: DataFrame, rules: DataFrame, test: Column) -> DataFrame:
     r = F.broadcast(rules.withColumnsRenamed({"property_device": "r_property", "area": "r_area"}))
     same = (F.col("property_device") == F.col("r_property")) & (F.col("area") == F.col("r_area"))
@@ -32,10 +54,7 @@ def _hits(events: DataFrame, rules: DataFrame, test: Column) -> DataFrame:
 def status_counts(events: DataFrame, rules: list[tuple] = STATUS_RULES) -> DataFrame:
     """(rule_id, group_name, property_device, test, operand, area, n) for every rule, 0 included."""
     table = status_rules(events.sparkSession, rules)
-    test = F.when(F.col("test") == "=", F.col("value_property_device") == F.col("operand")).otherwise(
-        number_value(F.col("value_property_device")) > F.col("operand").cast("double")
-    )
-    hits = _hits(_candidates(events, rules, 2, 5), table, test).select("rule_id", "n")
+    hits = _hits(_candidates(events, _status_places(rules)), table, _passes()).select("rule_id", "n")
     # At most one row per rule on either side.
     return table.join(F.broadcast(hits), "rule_id", "left").select(
         *table.columns, F.coalesce("n", F.lit(0)).alias("n")
@@ -47,13 +66,24 @@ def area_activity(events: DataFrame, group: str | None = None, rules: list[tuple
     rules = [r for r in rules if group is None or r[1] == group]
     table = total_rules(events.sparkSession, rules)
     test = F.col("value_property_device") == F.col("operand")
-    hits = _hits(_candidates(events, rules, 2, 4), table, test).select("metric", "n")
+    hits = _hits(_candidates(events, _total_places(rules)), table, test).select("metric", "n")
     metrics = total_metrics(events.sparkSession, rules)
     return metrics.join(F.broadcast(hits), "metric", "left").select(
         "group_name", "metric", F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
+def report_counts(events: DataFrame) -> DataFrame:
+    """(kind, label, group_name, property_device, test, area, n): all rules and all totals in one scan."""
+    spark = events.sparkSession
+    places = _status_places(STATUS_RULES) | _total_places(TOTAL_RULES)
+    hits = _hits(_candidates(events, places), report_rules(spark), _passes()).select("kind", "label", "n")
+    entries = report_entries(spark)
+    return entries.join(F.broadcast(hits), ["kind", "label"], "left").select(
+        *entries.columns, F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
 def presence_rows(events: DataFrame, area: str) -> DataFrame:
     return events.filter(presence_is(S.ON) & (F.col("area") == area))
 

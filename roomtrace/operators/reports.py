@@ -27,20 +27,15 @@ EXIT_ROW = (
 )
 
 
-def status_lines(counts: DataFrame, run_ts: str) -> DataFrame:
-    """(group_name, rule_id, line) from ``status_counts``."""
+def report_lines(counts: DataFrame, run_ts: str) -> DataFrame:
+    """(group_name, label, line) from ``report_counts``."""
     run = F.lit(run_ts)
-    line = F.when(
-        F.col("test") == "=", F.format_string(STATUS_LINE, run, "property_device", "area", "n")
-    ).otherwise(F.format_string(VALUE_LINE, run, "property_device", "area", "n"))
-    return counts.select("group_name", "rule_id", line.alias("line"))
-
-
-def total_lines(totals: DataFrame, run_ts: str) -> DataFrame:
-    """(group_name, metric, line) from ``area_activity``."""
-    return totals.select(
-        "group_name", "metric", F.format_string(TOTAL_LINE, F.lit(run_ts), "metric", "n").alias("line")
+    line = (
+        F.when(F.col("kind") == "total", F.format_string(TOTAL_LINE, run, "label", "n"))
+        .when(F.col("test") == "=", F.format_string(STATUS_LINE, run, "property_device", "area", "n"))
+        .otherwise(F.format_string(VALUE_LINE, run, "property_device", "area", "n"))
     )
+    return counts.select("group_name", "label", line.alias("line"))
 
 
 def movement_lines(moves: DataFrame) -> DataFrame:

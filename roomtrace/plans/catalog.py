@@ -174,9 +174,7 @@ def _activity(group: str | None) -> Callable[[DataFrame], DataFrame]:
 
 
 def _report_lines(d: DataFrame) -> DataFrame:
-    by_rule = reports.status_lines(counts.status_counts(d), RUN_TS).select("group_name", "line")
-    by_room = reports.total_lines(counts.area_activity(d), RUN_TS).select("group_name", "line")
-    return by_rule.unionByName(by_room)
+    return reports.report_lines(counts.report_counts(d), RUN_TS)
 
 
 # --- streams -------------------------------------------------------------

@@ -224,14 +224,14 @@ ORACLE: dict[str, str] = {
     ),
     "first_event": _sql(f"SELECT {ALL} FROM d ORDER BY event_ts, area, event_id LIMIT 1"),
     "report_lines": _sql(
-        f"""SELECT group_name,
+        f"""SELECT group_name, rule_id AS label,
               CASE WHEN test = '='
                 THEN printf('[{RUN_TS}] - Count status device property: %s -on- in area %s : %d ', property_device, area, n)
                 ELSE printf('[{RUN_TS}] - Count value property: %s device on in area %s : %d ', property_device, area, n)
               END AS line
             FROM s
             UNION ALL
-            SELECT group_name, printf('[{RUN_TS}] - %s: %d ', metric, n) FROM a""",
+            SELECT group_name, metric, printf('[{RUN_TS}] - %s: %d ', metric, n) FROM a""",
         STATUS,
         TOTALS,
     ),

@@ -63,6 +63,22 @@ def total_rules(spark: SparkSession, rules: list[tuple] = TOTAL_RULES) -> DataFr
     return _table(spark, names, rules)
 
 
+def report_rules(spark: SparkSession) -> DataFrame:
+    """Both lists in one: ``label`` is the rule id or the metric."""
+    names = ["kind", "label", "group_name", "property_device", "test", "operand", "area"]
+    status = [("status", *r) for r in STATUS_RULES]
+    totals = [("total", metric, group, prop, "=", value, area) for metric, group, prop, value, area in TOTAL_RULES]
+    return _table(spark, names, status + totals)
+
+
+def report_entries(spark: SparkSession) -> DataFrame:
+    """What a report lists: every status rule and every metric once."""
+    names = ["kind", "label", "group_name", "property_device", "test", "area"]
+    status = [("status", rule, group, prop, test, area) for rule, group, prop, test, _, area in STATUS_RULES]
+    totals = [("total", metric, group, None, None, None) for metric, group in dict.fromkeys(r[:2] for r in TOTAL_RULES)]
+    return _table(spark, names, status + totals)
+
+
 def total_metrics(spark: SparkSession, rules: list[tuple] = TOTAL_RULES) -> DataFrame:
     return _table(spark, ["group_name", "metric"], list(dict.fromkeys((r[1], r[0]) for r in rules)))
 

@@ -27,11 +27,16 @@ def normal(table):
     return names, sorted(tuple(str(row[n]) for n in names) for row in table.to_pylist())
 
 
+def types(table):
+    return {f.name: str(f.type) for f in table.schema}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, duck, name):
     got = entry.queries()[name](spark, SF).toArrow()
     want = duck.sql(entry.oracle_sql()[name]).to_arrow_table()
     assert normal(got) == normal(want)
+    assert types(got) == types(want)
     assert got.num_rows > 0
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from helpers import presence, readings
 from roomtrace import schema as S
 from roomtrace.operators import reports
-from roomtrace.operators.counts import area_activity, status_counts
+from roomtrace.operators.counts import area_activity, report_counts, status_counts
 from roomtrace.operators.movement import movements
 from roomtrace.operators.visits import visits
 
@@ -12,21 +12,32 @@ RUN = "2022-08-17 23:17:40.310208"
 
 def test_status_and_value_lines(spark):
     df = readings(spark, [("h", 1, "d", S.POWER, "on", "bedroom"), ("h", 1, "d", S.TEMPERATURE, "250", "kitchen")])
-    got = {r.rule_id: r.line for r in reports.status_lines(status_counts(df), RUN).collect()}
+    got = {r.label: r.line for r in reports.report_lines(report_counts(df), RUN).collect()}
     assert got["R01"] == f"[{RUN}] - Count status device property: powerStatus -on- in area bedroom : 1 "
     assert got["R16"] == (
         f"[{RUN}] - Count value property: thermometer.currentTemperature device on in area kitchen : 1 "
     )
-    assert len(got) == 21
+    assert len(got) == 30
 
 
 def test_total_lines(spark):
     df = presence(spark, [("h", 1, "d", "on", "washbasin")])
-    got = {r.line for r in reports.total_lines(area_activity(df), RUN).collect()}
+    got = {r.line for r in reports.report_lines(report_counts(df), RUN).collect()}
     assert f"[{RUN}] - Activity in bathroom presence sensor washbasin: 1 " in got
     assert f"[{RUN}] - Activity in bathroom presence sensor toilet: 0 " in got
 
 
+def test_report_counts_are_the_single_counts(spark):
+    df = readings(
+        spark,
+        [("h", 1, "d", p, v, a) for p in (S.POWER, S.PRESENCE, S.DOOR) for v in ("on", "off") for a in ("bedroom", "kitchen", "wardrobe")],
+    )
+    got = {r.label: r.n for r in report_counts(df).collect()}
+    want = {r.rule_id: r.n for r in status_counts(df).collect()}
+    want |= {r.metric: r.n for r in area_activity(df).collect()}
+    assert got == want
+
+
 def test_movement_line(spark):
     df = presence(spark, [("h", 1, "d", "on", "sleep"), ("h", 2, "d", "on", "toilet")])
     assert [r.line for r in reports.movement_lines(movements(df)).collect()] == [
