@@ -12,6 +12,10 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def from_micros(us: Column) -> Column:
+    return F.timestamp_micros(us).cast("timestamp_ntz")
+
+
 def presence_is(value: str) -> Column:
     return (F.col("property_device") == S.PRESENCE) & (F.col("value_property_device") == value)
 

@@ -7,10 +7,10 @@ ordered by device and event id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from roomtrace import schema as S
-from roomtrace.functions.expressions import micros
+from roomtrace.functions.expressions import from_micros, micros
 from roomtrace.operators.splitting import Limits, Slices, every_salt, salt_of
 
 # The areas whose visits are reported, by activity.
@@ -27,48 +27,43 @@ KEYS = ["house_id", "area"]
 
 def visits(events: DataFrame, areas: list[str] | None = None, limits: Limits | None = None) -> DataFrame:
     """(house_id, area, event_id, entry_ts, exit_ts, exit_device), one row per matched entry."""
-    presence = (
-        events.filter(
-            (F.col("property_device") == S.PRESENCE)
-            & F.col("value_property_device").isin(S.ON, S.OFF)
-            & F.col("house_id").isNotNull()
-            & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
-        )
-        .withColumn("us", micros(F.col("event_ts")))
-        .select(
-            *KEYS,
-            "us",
-            (F.col("value_property_device") == S.ON).alias("entry"),
-            "event_ts",
-            "event_id",
-            "id_device",
-        )
-    )
-    slices = Slices(presence, KEYS, limits)
-    rows = presence.select(
+    entry = F.col("value_property_device") == S.ON
+    rows = events.filter(
+        (F.col("property_device") == S.PRESENCE)
+        & F.col("value_property_device").isin(S.ON, S.OFF)
+        & F.col("house_id").isNotNull()
+        & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
+    ).select(
         *KEYS,
-        "us",
-        "entry",
-        "event_ts",
+        micros(F.col("event_ts")).alias("us"),
+        entry.alias("entry"),
         "event_id",
-        F.when(~F.col("entry"), F.struct("event_ts", "id_device", "event_id")).alias("off"),
+        # Only the device of an exit is reported.
+        F.when(~entry, F.col("id_device")).alias("id_device"),
     )
+    slices = Slices(rows, KEYS, limits)
     if not slices.hot:
         return _match(rows, KEYS)
     return _match(_cut(rows, slices), [*slices.cell, "salt"])
 
 
+def _exit() -> Column:
+    return F.when(~F.col("entry"), F.struct("us", "id_device", "event_id"))
+
+
 def _match(rows: DataFrame, group: list[str]) -> DataFrame:
     # Latest first, so "strictly later" is a frame that only grows.
     later = W.partitionBy(*group).orderBy(F.col("us").desc()).rangeBetween(W.unboundedPreceding, -1)
+    # The explicit repartition keeps the struct of the window out of the shuffle.
     return (
-        rows.withColumn("exit", F.min("off").over(later))
+        rows.repartition(*group)
+        .withColumn("exit", F.min(_exit()).over(later))
         .filter(F.col("entry") & F.col("exit").isNotNull())
         .select(
             *KEYS,
             "event_id",
-            F.col("event_ts").alias("entry_ts"),
-            F.col("exit.event_ts").alias("exit_ts"),
+            from_micros(F.col("us")).alias("entry_ts"),
+            from_micros(F.col("exit.us")).alias("exit_ts"),
             F.col("exit.id_device").alias("exit_device"),
         )
     )
@@ -82,39 +77,30 @@ def _cut(rows: DataFrame, slices: Slices) -> DataFrame:
     own = placed.filter(F.col("entry") | F.col("parts").isNull()).withColumn(
         "salt", salt_of(F.col("event_id"), F.col("parts"))
     )
-    shape = [*cell, "salt", "us", "entry", "event_ts", "event_id", "off"]
+    shape = [*cell, "salt", "us", "entry", "event_id", "id_device"]
     hot_rows = slices.of_hot_groups(rows)
 
     # The first exit after a slice is the earliest one of all later slices.
     after = W.partitionBy(*slices.keys).orderBy(F.col("c1").desc(), F.col("c2").desc())
     handed_on = (
         hot_rows.groupBy(*cell)
-        .agg(F.min("off").alias("first_off"))
+        .agg(F.min(_exit()).alias("first_off"))
         .withColumn("off", F.min("first_off").over(after.rowsBetween(W.unboundedPreceding, -1)))
         .filter(F.col("off").isNotNull())
     )
-    parts = [own.select(*shape), _exits(slices.spread(handed_on), cell).select(*shape)]
+    out = own.select(*shape).unionByName(_exits(slices.spread(handed_on), cell).select(*shape))
     if slices.crowded:
         exits = (
             slices.crowding(hot_rows.filter(~F.col("entry")), {"parts": "parts"}, "inner")
             .groupBy(*cell, "us", "parts")
-            .agg(F.min("off").alias("off"))
+            .agg(F.min(_exit()).alias("off"))
         )
-        parts.append(_exits(exits, cell).select(*shape))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        out = out.unionByName(_exits(exits.drop("us"), cell).select(*shape))
     return out
 
 
 def _exits(found: DataFrame, cell: list[str]) -> DataFrame:
     """Exit rows for every salt of their slice; they match entries but are none."""
     return found.select(
-        *cell,
-        every_salt(F.col("parts")).alias("salt"),
-        micros(F.col("off.event_ts")).alias("us"),
-        F.lit(False).alias("entry"),
-        F.col("off.event_ts").alias("event_ts"),
-        F.col("off.event_id").alias("event_id"),
-        "off",
+        *cell, "off.*", every_salt(F.col("parts")).alias("salt"), F.lit(False).alias("entry")
     )

@@ -15,7 +15,7 @@ def spark():
     session = get_session(
         "roomtrace-tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__sql__maxMetadataStringLength="10000",

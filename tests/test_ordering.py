@@ -7,7 +7,7 @@ from roomtrace.operators.counts import presence_counts
 from roomtrace.operators.ordering import first_event, positions, running_presence, sorted_events
 from roomtrace.operators.splitting import Limits
 
-LIMITS = [None, Limits(40, 1000), Limits(5, 1000), Limits(2, 9), Limits(1, 1)]
+LIMITS = [None, Limits(40, 1000), Limits(5, 1000), Limits(2, 9)]
 CASES = [
     dict(seed=11, n=500, houses=3, span=300),
     dict(seed=12, n=600, houses=3, span=30, hot=0.5),
