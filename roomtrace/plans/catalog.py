@@ -210,6 +210,16 @@ def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.parse_lines(spark.read.parquet(f"{path}/landed").select("value"))
 
 
+def _stream_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(use_utc(spark), "stream-report")
+    lines.write_lines(device_events(spark, sf_dir), f"{path}/spool")
+    report = jobs.on_lines(lambda d: _report_lines(d).select("line"))
+    stream = lines.stream_lines(spark, f"{path}/spool")
+    jobs.finish(jobs.per_batch(stream, {"report": report}, path, once=True, text=("report",)))
+    found = jobs.read_batches(spark, path, "report", "text")
+    return found.select(F.col("batch_id").cast("bigint").alias("batch_id"), F.col("value").alias("line"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_device_events": on_readings(lambda d: d.select(*FIELDS)),
     "parse_device_line": on_readings(lambda d: lines.parse_lines(_sent_lines(d))),
@@ -254,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "stream_status_count": _stream_status_count,
     "stream_area_activity": _batch_job("area_activity"),
     "stream_running_presence": _stream_running,
+    "stream_report_lines": _stream_report_lines,
     "stream_visits": _batch_job("visits"),
     "stream_movement": _batch_job("movement"),
 }

@@ -126,6 +126,16 @@ def _visits(where: str) -> str:
     return _sql(f"SELECT * FROM v WHERE {where}", VISITS)
 
 
+REPORT = f"""
+SELECT group_name, rule_id AS label,
+  CASE WHEN test = '='
+    THEN printf('[{RUN_TS}] - Count status device property: %s -on- in area %s : %d ', property_device, area, n)
+    ELSE printf('[{RUN_TS}] - Count value property: %s device on in area %s : %d ', property_device, area, n)
+  END AS line
+FROM s
+UNION ALL
+SELECT group_name, metric, printf('[{RUN_TS}] - %s: %d ', metric, n) FROM a"""
+
 ORACLE: dict[str, str] = {
     "scan_device_events": _sql(f"SELECT {ALL} FROM d"),
     "parse_device_line": _sql(
@@ -223,18 +233,7 @@ ORACLE: dict[str, str] = {
             FROM d ORDER BY event_ts, area, event_id"""
     ),
     "first_event": _sql(f"SELECT {ALL} FROM d ORDER BY event_ts, area, event_id LIMIT 1"),
-    "report_lines": _sql(
-        f"""SELECT group_name, rule_id AS label,
-              CASE WHEN test = '='
-                THEN printf('[{RUN_TS}] - Count status device property: %s -on- in area %s : %d ', property_device, area, n)
-                ELSE printf('[{RUN_TS}] - Count value property: %s device on in area %s : %d ', property_device, area, n)
-              END AS line
-            FROM s
-            UNION ALL
-            SELECT group_name, metric, printf('[{RUN_TS}] - %s: %d ', metric, n) FROM a""",
-        STATUS,
-        TOTALS,
-    ),
+    "report_lines": _sql(f"SELECT group_name, label, line FROM ({REPORT})", STATUS, TOTALS),
     "movement_lines": _sql(
         """SELECT house_id, event_id, from_ts, from_area,
              printf('Se detecta movimiento, cambios de zona desde zona 1: %s a zona 2: %s ', from_area, to_area) AS line
@@ -262,6 +261,7 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(0 AS BIGINT) AS batch_id, rule_id, group_name, property_device, area, n FROM s", STATUS
     ),
     "stream_area_activity": _sql("SELECT CAST(0 AS BIGINT) AS batch_id, group_name, metric, n FROM a", TOTALS),
+    "stream_report_lines": _sql(f"SELECT CAST(0 AS BIGINT) AS batch_id, line FROM ({REPORT})", STATUS, TOTALS),
     "stream_visits": _sql("SELECT CAST(0 AS BIGINT) AS batch_id, * FROM v", VISITS),
     "stream_movement": _sql("SELECT CAST(0 AS BIGINT) AS batch_id, * FROM m", MOVES),
 }

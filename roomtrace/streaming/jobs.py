@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roomtrace import schema as S
-from roomtrace.operators.counts import area_activity, status_counts
+from roomtrace.functions.expressions import presence_is, presence_key
+from roomtrace.operators.counts import area_activity, report_counts, status_counts
 from roomtrace.operators.movement import movements
+from roomtrace.operators.reports import VISIT_PLACES, movement_lines, report_lines, visit_lines
 from roomtrace.operators.visits import visits
-from roomtrace.functions.expressions import presence_is, presence_key
+from roomtrace.sources.lines import malformed_lines, parse_lines
 
 BATCH_INTERVAL = "60 seconds"
 
@@ -39,10 +41,13 @@ def per_batch(
     jobs: dict[str, Callable[[DataFrame], DataFrame]],
     path: str,
     once: bool = False,
+    text: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Runs ``jobs`` on every batch; job ``x`` writes to ``path/x/batch_id=N``.
 
-    ``once`` takes what is there and stops; otherwise a batch starts every minute.
+    Tables are parquet, but jobs named in ``text`` give lines and write text
+    files.  ``once`` takes what is there and stops; otherwise a batch starts
+    every minute.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -51,7 +56,8 @@ def per_batch(
             batch = batch.persist()
         try:
             for name, job in jobs.items():
-                job(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+                kind = "text" if name in text else "parquet"
+                job(batch).write.format(kind).mode("overwrite").save(f"{path}/{name}/batch_id={batch_id}")
         finally:
             if several:
                 batch.unpersist()
@@ -59,9 +65,9 @@ def per_batch(
     return _start(stream.writeStream.foreachBatch(process), f"{path}/_log", once)
 
 
-def read_batches(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, name: str, kind: str = "parquet") -> DataFrame:
     """What ``per_batch`` wrote for job ``name``, with its ``batch_id``."""
-    return spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}/batch_id=*")
+    return spark.read.format(kind).option("basePath", f"{path}/{name}").load(f"{path}/{name}/batch_id=*")
 
 
 # The jobs a house stream runs, by table name.
@@ -73,6 +79,46 @@ HOUSE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def on_lines(job: Callable[[DataFrame], DataFrame], house: Column | None = None) -> Callable[[DataFrame], DataFrame]:
+    """``job`` for a batch of device lines instead of readings.
+
+    Every file is a house of its own unless ``house`` says otherwise; with
+    ``F.lit("home")`` all files of a batch belong together.
+    """
+
+    def run(batch: DataFrame) -> DataFrame:
+        named = batch.withColumn("house_id", F.col("file") if house is None else house)
+        return job(parse_lines(named.withColumn("event_id", F.monotonically_increasing_id())))
+
+    return run
+
+
+def house_report(
+    stream: DataFrame, path: str, run_ts: str, house: Column | None = None, once: bool = False
+) -> StreamingQuery:
+    """Device lines to report lines: per batch the counts, the movements and the
+    visits as text, and the lines that are no readings as a table ``malformed``."""
+    jobs = {
+        "report": on_lines(lambda d: report_lines(report_counts(d), run_ts).select("line"), house),
+        "movement": on_lines(
+            lambda d: movement_lines(movements(d)).orderBy("from_ts", "from_area").select("line"), house
+        ),
+        "visits": on_lines(
+            lambda d: visit_lines(visits(d, list(VISIT_PLACES)))
+            .orderBy("area", "entry_ts", "event_id", "line_no")
+            .select("line"),
+            house,
+        ),
+        "malformed": malformed_lines,
+    }
+    return per_batch(stream, jobs, path, once, text=("report", "movement", "visits"))
+
+
+def show(stream: DataFrame, path: str, mode: str = "append", once: bool = False) -> StreamingQuery:
+    """Prints the rows of every batch; the log of taken files is kept under ``path``."""
+    return _start(stream.writeStream.format("console").outputMode(mode), f"{path}/_log", once)
+
+
 def running_presence(stream: DataFrame, path: str, once: bool = False) -> StreamingQuery:
     """Keeps one count per key for the whole stream; each batch writes the counts it changed."""
     counts = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, presence, random_rows, readings, rows_of, table
 from roomtrace import schema as S
@@ -116,6 +117,54 @@ def test_lines_land_and_parse(spark, tmp_path):
     assert rows_of(back.select(*S.LINE_FIELDS)) == rows_of(df.select(*S.LINE_FIELDS))
 
 
+def test_lines_to_reports(spark, tmp_path):
+    spool, out = tmp_path / "spool", str(tmp_path / "out")
+    spool.mkdir()
+    (spool / "home.csv").write_text(
+        "2022-07-02 08:00:00,d1,sensedPresence,on,toilet\n"
+        "not a reading\n"
+        "2022-07-02 08:05:00,d1,sensedPresence,off,toilet\n"
+        "2022-07-02 08:06:00,d2,sensedPresence,on,armchair"
+    )
+    run = "2022-08-17 23:17:40"
+    jobs.finish(jobs.house_report(lines.stream_lines(spark, str(spool)), out, run, once=True))
+
+    def text(name):
+        return [r.value for r in jobs.read_batches(spark, out, name, "text").collect()]
+
+    assert f"[{run}] - Activity in bathroom presence sensor toilet: 1 " in text("report")
+    assert len(text("report")) == 30
+    assert text("movement") == ["Se detecta movimiento, cambios de zona desde zona 1: toilet a zona 2: armchair "]
+    assert text("visits")[1] == "Tiempo entrada: 2022-07-02 08:00:00 , tiempo salida: 2022-07-02 08:05:00 "
+    assert [r.value for r in jobs.read_batches(spark, out, "malformed").collect()] == ["not a reading"]
+
+
+def test_files_of_a_batch_may_form_one_house(spark, tmp_path):
+    spool = tmp_path / "spool"
+    spool.mkdir()
+    (spool / "a.csv").write_text("2022-07-02 08:00:00,d1,sensedPresence,on,toilet")
+    (spool / "b.csv").write_text("2022-07-02 08:05:00,d1,sensedPresence,off,toilet")
+    for house, found in [(None, 0), (F.lit("home"), 1)]:
+        out = str(tmp_path / f"out{found}")
+        stream = lines.stream_lines(spark, str(spool))
+        jobs.finish(jobs.per_batch(stream, {"visits": jobs.on_lines(visits, house)}, out, once=True))
+        assert jobs.read_batches(spark, out, "visits").count() == found
+
+
+def test_raw_events_may_be_a_folder_of_files(spark, tmp_path):
+    raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    raw.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = str(tmp_path / "out")
+    jobs.finish(jobs.land(jobs.stream_raw_events(spark, str(tmp_path)), out, once=True))
+    assert spark.read.parquet(f"{out}/landed").count() == raw.count()
+
+
+def test_console(spark, tmp_path):
+    df = readings(spark, [("h", 1, "d", S.POWER, "on", "bedroom")])
+    put(df, str(tmp_path / "in"))
+    jobs.finish(jobs.show(stream_of(spark, str(tmp_path / "in"), df), str(tmp_path / "out"), once=True))
+
+
 def test_timed_stream_can_be_stopped(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df = readings(spark, [("h", 1, "d", S.POWER, "on", "bedroom")])
