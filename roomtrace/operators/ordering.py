@@ -37,7 +37,7 @@ def positions(
 
     part = [*slices.cell, "cut"]
     own = cut(rows, slices.of_all(rows)).withColumn("weight", F.lit(1).cast("bigint"))
-    along = W.partitionBy(*keys).orderBy("c1", "c2", "cut")
+    along = W.partitionBy(*keys).orderBy(*slices.cuts, "cut")
     starts = (
         cut(rows, slices.of_hot_groups(rows.select(*dict.fromkeys([*keys, *order]))))
         .groupBy(*part)

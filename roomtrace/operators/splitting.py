@@ -3,12 +3,11 @@
 Matching and ranking need the readings of a group (a house, or an area of a
 house) in time order.  One window per group is right as long as the group fits
 a task, but a single group may hold a large part of the table.  Such groups
-are cut here, in three steps that each look only at what the step before left
-too large:
+are cut here:
 
-1. equal slices of the time span of the group (``c1``);
-2. equal slices of the time span of a slice that is still too large (``c2``),
-   for bursts and for spans stretched by a few wrong clocks;
+1. into equal slices of their time span (``c1``);
+2. slices that are still far too large (bursts, spans stretched by a few wrong
+   clocks) into equal slices of their own span (``c2``, ``c3``, ...);
 3. what is then still too large holds copies of (nearly) one instant; the
    caller cuts it by salt or by event id.
 
@@ -18,12 +17,15 @@ not depend on where the cuts fall: the numbers found here steer the load only.
 Each step yields at most ``Limits.groups`` rows, the largest groups first, so
 the split tables are safe to broadcast at any size of the data.  A group that
 misses the list holds at most max(Limits.rows, table rows / Limits.groups).
+A table without hot groups costs one aggregate and is not cut at all.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -42,36 +44,33 @@ class Limits:
         )
 
 
-def _too_large(df: DataFrame, keys: list[str], over: list[str], limits: Limits) -> DataFrame | None:
-    """The largest groups of ``keys`` above the limit, with the span of each column of ``over``.
+# Rounds of slicing.  Each divides a slice by its own size, so a later round
+# is reached only by data that is crowded at ever finer scales.
+ROUNDS = 4
+# A slice up to this many times too large is left to the salts.
+SLACK = 4
+
+
+def _too_large(df: DataFrame, keys: list[str], over: list[str], limits: Limits) -> pa.Table | None:
+    """The largest groups of ``keys`` above the limit: ``n``, the number of ``parts`` they
+    should be cut into, and for each column of ``over`` its least value and the step of a part.
 
     The aggregate is combined on the map side and the list is bounded, so it
     may pass through the driver; None when every group fits.
     """
     spans = [f(c).alias(f"{name}_{c}") for c in over for name, f in (("lo", F.min), ("hi", F.max))]
-    parts = F.ceil(F.col("n") / limits.rows)
+    steps = [F.expr(f"greatest(1, (hi_{c} - lo_{c} + parts) div parts)").alias(f"step_{c}") for c in over]
     found = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), *spans)
         .filter(F.col("n") > limits.rows)
         .orderBy(F.col("n").desc(), *keys)
         .limit(limits.groups)
-        .select(
-            *keys,
-            parts.alias("parts"),
-            *[F.col(f"lo_{c}") for c in over],
-            *[
-                F.expr(f"greatest(1, (hi_{c} - lo_{c} + ceil(n / {limits.rows})) div ceil(n / {limits.rows}))").alias(
-                    f"step_{c}"
-                )
-                for c in over
-            ],
-        )
+        .withColumn("parts", F.ceil(F.col("n") / limits.rows))
+        .select("*", *steps)
         .toArrow()
     )
-    if found.num_rows == 0:
-        return None
-    return df.sparkSession.createDataFrame(found)
+    return found if found.num_rows else None
 
 
 def _look_up(df: DataFrame, table: DataFrame, keys: list[str], values: dict[str, str], how: str) -> DataFrame:
@@ -86,49 +85,69 @@ def _look_up(df: DataFrame, table: DataFrame, keys: list[str], values: dict[str,
     return df.join(F.broadcast(renamed), on, how).drop(*[f"_{k}" for k in keys])
 
 
-def _slice(df: DataFrame, table: DataFrame | None, keys: list[str], name: str, how: str = "left") -> DataFrame:
-    if table is None:
-        return df.withColumn(name, F.lit(0).cast("bigint"))
-    found = _look_up(df, table, keys, {"_lo": "lo_us", "_step": "step_us"}, how)
-    return found.withColumn(name, F.coalesce(F.expr("(us - _lo) div _step"), F.lit(0))).drop("_lo", "_step")
-
-
 class Slices:
     """The cuts of the groups of ``keys`` in ``df``; ``df`` has the time as bigint ``us``."""
 
     def __init__(self, df: DataFrame, keys: list[str], limits: Limits | None = None, over: list[str] | None = None):
-        limits = limits or Limits.of(df.sparkSession)
+        spark = df.sparkSession
+        limits = limits or Limits.of(spark)
+        over = ["us", *(over or [])]
         self.keys = keys
-        self.cell = [*keys, "c1", "c2"]
-        self._first = _too_large(df, keys, ["us"], limits)
-        self._second = self._third = None
-        if self.hot:
-            cut = self.of_hot_groups(df)
-            self._second = _too_large(cut, [*keys, "c1"], ["us"], limits)
-        if self._second is not None:
-            self._third = _too_large(self.of_hot_groups(df), self.cell, over or [], limits)
+        self._rounds: list[DataFrame] = []
+        found = _too_large(df, keys, over, limits)
+        while found is not None and self._worth_cutting(found, limits):
+            self._rounds.append(spark.createDataFrame(found))
+            found = _too_large(self._place(df, inner=len(self._rounds)), self.cell, over, limits)
+        self._crowded = None if found is None else spark.createDataFrame(found)
+
+    def _worth_cutting(self, found: pa.Table, limits: Limits) -> bool:
+        if not self._rounds:
+            return True
+        long = pc.greater(found["hi_us"], found["lo_us"])
+        large = pc.greater(found["n"], SLACK * limits.rows)
+        return len(self._rounds) < ROUNDS and bool(pc.any(pc.and_(long, large)).as_py())
+
+    @property
+    def cuts(self) -> list[str]:
+        """Names of the slice numbers; in their order slices follow each other in time."""
+        return [f"c{i}" for i in range(1, len(self._rounds) + 1)]
+
+    @property
+    def cell(self) -> list[str]:
+        return [*self.keys, *self.cuts]
 
     @property
     def hot(self) -> bool:
         """Whether any group had to be cut at all."""
-        return self._first is not None
+        return bool(self._rounds)
 
     @property
     def crowded(self) -> bool:
         """Whether any slice is still too large."""
-        return self._third is not None
+        return self._crowded is not None
+
+    def _place(self, df: DataFrame, inner: int) -> DataFrame:
+        """Adds the slice numbers.  Only groups cut in each of the first ``inner`` rounds
+        are kept; what a round did not cut is its slice 0."""
+        keys = list(self.keys)
+        for i, (name, table) in enumerate(zip(self.cuts, self._rounds)):
+            how = "inner" if i < inner else "left"
+            df = _look_up(df, table, keys, {"_lo": "lo_us", "_step": "step_us"}, how)
+            df = df.withColumn(name, F.coalesce(F.expr("(us - _lo) div _step"), F.lit(0))).drop("_lo", "_step")
+            keys.append(name)
+        return df
 
     def of_hot_groups(self, df: DataFrame) -> DataFrame:
-        """Rows of the groups that were cut, with their slice ``c1``, ``c2``."""
-        return _slice(_slice(df, self._first, self.keys, "c1", "inner"), self._second, [*self.keys, "c1"], "c2")
+        """Rows of the groups that were cut, with their slice."""
+        return self._place(df, inner=1)
 
     def of_all(self, df: DataFrame) -> DataFrame:
-        """All rows with their slice; groups that were not cut are slice 0, 0."""
-        return _slice(_slice(df, self._first, self.keys, "c1"), self._second, [*self.keys, "c1"], "c2")
+        """All rows with their slice; groups that were not cut are one slice."""
+        return self._place(df, inner=0)
 
     def crowding(self, df: DataFrame, values: dict[str, str], how: str) -> DataFrame:
-        """Adds ``values`` of the crowded slices to rows that have ``c1``, ``c2``."""
-        return _look_up(df, self._third, self.cell, values, how)
+        """Adds ``values`` of the crowded slices to rows that have their slice."""
+        return _look_up(df, self._crowded, self.cell, values, how)
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Adds ``parts``, the number of salts of the row's slice (NULL: not crowded)."""

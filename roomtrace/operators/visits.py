@@ -81,7 +81,7 @@ def _cut(rows: DataFrame, slices: Slices) -> DataFrame:
     hot_rows = slices.of_hot_groups(rows)
 
     # The first exit after a slice is the earliest one of all later slices.
-    after = W.partitionBy(*slices.keys).orderBy(F.col("c1").desc(), F.col("c2").desc())
+    after = W.partitionBy(*slices.keys).orderBy(*[F.col(c).desc() for c in slices.cuts])
     handed_on = (
         hot_rows.groupBy(*cell)
         .agg(F.min(_exit()).alias("first_off"))

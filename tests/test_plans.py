@@ -78,4 +78,4 @@ def test_hot_groups_are_shuffled_by_slice(spark, job):
     text = plan(job(df, limits=Limits(5, 1000)))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     # The shuffle right under the last window splits the group by slice.
-    assert re.search(r"Exchange hashpartitioning\(\S+ (\S+ )?c1#\S+ c2#", text.replace(",", " ").replace("  ", " "))
+    assert re.search(r"Exchange hashpartitioning\(\S+ (\S+ )?c1#", text.replace(",", " ").replace("  ", " "))
