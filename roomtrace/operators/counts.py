@@ -96,9 +96,12 @@ def alarm_rows(events: DataFrame, prop: str, area: str, threshold: float) -> Dat
     )
 
 
-def presence_counts(events: DataFrame, areas: list[str] | None = None) -> DataFrame:
-    """(key, n): presence-on readings per area; an area without any gives no row."""
+def presence_counts(events: DataFrame, areas: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """(key, n): presence-on readings per area; an area without any gives no row.
+
+    ``by`` (such as house_id) adds columns that are counted apart.
+    """
     on = events.filter(presence_is(S.ON) & F.col("area").isNotNull())
     if areas is not None:
         on = on.filter(F.col("area").isin(areas))
-    return on.groupBy(presence_key().alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return on.groupBy(*(by or []), presence_key().alias("key")).agg(F.count(F.lit(1)).alias("n"))

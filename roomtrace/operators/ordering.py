@@ -70,10 +70,16 @@ def first_event(events: DataFrame) -> DataFrame:
     return events.orderBy("event_ts", "area", "event_id").limit(1)
 
 
-def running_presence(events: DataFrame, areas: list[str] | None = None, limits: Limits | None = None) -> DataFrame:
-    """(key, event_id, event_ts, n): each presence-on reading with the new count of its key."""
+def running_presence(
+    events: DataFrame, areas: list[str] | None = None, by: list[str] | None = None, limits: Limits | None = None
+) -> DataFrame:
+    """(key, event_id, event_ts, n): each presence-on reading with the new count of its key.
+
+    ``by`` (such as house_id) adds columns that are counted apart.
+    """
+    by = by or []
     on = events.filter(presence_is(S.ON) & F.col("area").isNotNull())
     if areas is not None:
         on = on.filter(F.col("area").isin(areas))
-    keyed = on.select(presence_key().alias("key"), "event_id", "event_ts")
-    return positions(keyed, ["key"], limits=limits)
+    keyed = on.select(*by, presence_key().alias("key"), "event_id", "event_ts")
+    return positions(keyed, [*by, "key"], limits=limits)

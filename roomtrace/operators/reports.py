@@ -69,5 +69,9 @@ def visit_lines(found: DataFrame) -> DataFrame:
 
 
 def append_lines(lines: DataFrame, path: str, order: list[str]) -> None:
-    """Appends the lines to the text files under ``path``, range-sorted by ``order``."""
+    """Appends the lines to the text files under ``path``, range-sorted by ``order``.
+
+    ``order`` should end in event_id: lines of one instant can then be split
+    between tasks as well.
+    """
     lines.orderBy(*order).select(F.col("line").alias("value")).write.mode("append").text(path)

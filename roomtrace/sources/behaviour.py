@@ -25,9 +25,17 @@ READ_TAGS = ["delay", "set-device-property", "move-device-zone"]
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(file, value), one row per accepted file under ``path``."""
+    return _accepted(spark.read.text(path, wholetext=True))
+
+
+def stream_documents(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The same for files as they arrive; the log of the stream marks them as done."""
+    return _accepted(spark.readStream.options(**options).text(path, wholetext=True))
+
+
+def _accepted(texts: DataFrame) -> DataFrame:
     return (
-        spark.read.text(path, wholetext=True)
-        .select(
+        texts.select(
             F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("size"), "value"
         )
         .filter(~F.col("file").rlike(DONE) & (F.col("size") >= MIN_BYTES))

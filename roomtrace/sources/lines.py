@@ -68,8 +68,11 @@ def line_text() -> Column:
     )
 
 
-def write_lines(events: DataFrame, path: str, mode: str = "append") -> None:
-    events.select(line_text().alias("value")).write.mode(mode).text(path)
+def write_lines(events: DataFrame, path: str, mode: str = "append", by: list[str] | None = None) -> None:
+    """Readings as text files of device lines; with ``by`` (such as the file they
+    came from) every value has its own folder."""
+    by = by or []
+    events.select(line_text().alias("value"), *by).write.mode(mode).partitionBy(*by).text(path)
 
 
 def write_csv(events: DataFrame, path: str, mode: str = "append") -> None:

@@ -101,7 +101,7 @@ def house_report(
     jobs = {
         "report": on_lines(lambda d: report_lines(report_counts(d), run_ts).select("line"), house),
         "movement": on_lines(
-            lambda d: movement_lines(movements(d)).orderBy("from_ts", "from_area").select("line"), house
+            lambda d: movement_lines(movements(d)).orderBy("from_ts", "from_area", "event_id").select("line"), house
         ),
         "visits": on_lines(
             lambda d: visit_lines(visits(d, list(VISIT_PLACES)))

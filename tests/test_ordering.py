@@ -59,6 +59,17 @@ def test_last_running_count_is_the_count(spark):
     assert last == {r.key: r.n for r in presence_counts(df).collect()}
 
 
+def test_running_presence_per_house(spark):
+    full = random_rows(seed=18, n=300, houses=3, span=50)
+    on = [r for r in full if r[5] == "on"]
+    got = {r.event_id: r.n for r in running_presence(table(spark, full), by=["house_id"]).collect()}
+    assert got == brute_positions(on, lambda r: (r[1], r[6]), lambda r: (r[2], r[0]))
+    last = running_presence(table(spark, full), by=["house_id"]).groupBy("house_id", "key").max("n")
+    assert sorted(map(tuple, last.collect())) == sorted(
+        map(tuple, presence_counts(table(spark, full), by=["house_id"]).collect())
+    )
+
+
 def test_area_without_presence_gives_no_key(spark):
     df = readings(spark, [("h", 1, "d", "sensedPresence", "off", "chair_bedroom"), ("h", 1, "d", "sensedPresence", "on", "sleep")])
     assert [tuple(r) for r in presence_counts(df).collect()] == [("sleep-sensedPresence-on", 1)]

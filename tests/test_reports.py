@@ -59,6 +59,6 @@ def test_lines_are_appended_in_order(spark, tmp_path):
     df = presence(spark, [("h", i, "d", "on", "sleep" if i % 2 else "toilet") for i in range(40)])
     lines = reports.movement_lines(movements(df))
     path = str(tmp_path / "report")
-    reports.append_lines(lines, path, ["from_ts", "from_area"])
-    reports.append_lines(lines, path, ["from_ts", "from_area"])
+    reports.append_lines(lines, path, ["from_ts", "from_area", "event_id"])
+    reports.append_lines(lines, path, ["from_ts", "from_area", "event_id"])
     assert spark.read.text(path).count() == 2 * 39

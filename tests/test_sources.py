@@ -52,6 +52,15 @@ def test_line_files(spark, tmp_path):
     assert back.select("event_id").distinct().count() == 100
 
 
+def test_one_folder_of_lines_per_source(spark, tmp_path):
+    df = table(spark, random_rows(seed=24, n=40, houses=2, span=90))
+    lines.write_lines(df, str(tmp_path / "out"), by=["house_id"])
+    for house in ("h0", "h1"):
+        back = lines.parse_lines(lines.read_lines(spark, str(tmp_path / "out" / f"house_id={house}")))
+        want = df.filter(df.house_id == house)
+        assert rows_of(back.select(*S.LINE_FIELDS)) == rows_of(want.select(*S.LINE_FIELDS))
+
+
 def test_csv_appends(spark, tmp_path):
     df = table(spark, random_rows(seed=22, n=50, houses=2, span=90))
     path = str(tmp_path / "csv")

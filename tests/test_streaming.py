@@ -11,7 +11,7 @@ from roomtrace.operators.counts import area_activity, presence_counts, status_co
 from roomtrace.operators.movement import movements
 from roomtrace.operators.visits import visits
 from roomtrace.session import work_dir
-from roomtrace.sources import lines
+from roomtrace.sources import behaviour, lines
 from roomtrace.streaming import jobs
 
 OPTIONS = {"maxFilesPerTrigger": "1"}
@@ -165,6 +165,29 @@ def test_console(spark, tmp_path):
     jobs.finish(jobs.show(stream_of(spark, str(tmp_path / "in"), df), str(tmp_path / "out"), once=True))
 
 
+def test_documents_are_taken_once(spark, tmp_path):
+    scripts, out = tmp_path / "scripts", str(tmp_path / "out")
+    scripts.mkdir()
+
+    def script(device):
+        return (
+            '<behavior startdate="01/07/2022-23:00:00">'
+            f'<move-device-zone deviceId="{device}" zoneId="sleep"/><delay value="1" unit="h"/>'
+            f'<set-device-property deviceId="{device}" property="sensedPresence" value="true"/></behavior>'
+        ) + " " * 600
+
+    for name, content in [("a.bhv", script("d1")), ("b.bhv.COMPLETED", script("d2")), ("c.bhv", "<behavior/>")]:
+        (scripts / name).write_text(content)
+    for name in (None, "d.bhv"):
+        if name:
+            (scripts / name).write_text(script("d4"))
+        stream = behaviour.stream_documents(spark, str(scripts))
+        job = {"events": lambda batch: behaviour.behaviour_events(batch, ["file"])}
+        jobs.finish(jobs.per_batch(stream, job, out, once=True))
+    got = jobs.read_batches(spark, out, "events").select("batch_id", "file", "id_device", "area")
+    assert rows_of(got) == [(0, "a.bhv", "d1", "sleep"), (1, "d.bhv", "d4", "sleep")]
+
+
 def test_timed_stream_can_be_stopped(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df = readings(spark, [("h", 1, "d", S.POWER, "on", "bedroom")])
