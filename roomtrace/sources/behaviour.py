@@ -53,8 +53,8 @@ def _list(name: str) -> Column:
 
 
 def _mentions(value: Column) -> Column:
-    """How many of the read elements the text has, at any depth; comments do not count."""
-    bare = F.regexp_replace(value, "(?s)<!--.*?-->", "")
+    """How many of the read elements the text has, at any depth; comments and literal text do not count."""
+    bare = F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
     return F.regexp_count(bare, F.lit(f"<({'|'.join(READ_TAGS)})[\\s/>]"))
 
 
@@ -71,13 +71,13 @@ def parse_documents(docs: DataFrame, keys: list[str], legacy_other_unit: bool =
     """
     parsed = docs.select(
         *keys,
-        F.from_xml("value", DOCUMENT, {"mode": "PERMISSIVE"}).alias("d"),
+        F.from_xml("value", DOCUMENT, {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}).alias("d"),
         F.col("value"),
     )
     lists = parsed.select(
         *keys,
         "value",
-        F.col("d._corrupt_record").isNotNull().alias("broken"),
+        (F.col("d._corrupt_record").isNotNull() | ~F.col("value").rlike(r">\s*$")).alias("broken"),
         parse_start_ts(F.col("d._startdate")).alias("start_ts"),
         F.transform(
             _list("delay"), lambda x: delay_seconds(_whole_number(x["_value"]), _text(x["_unit"]), legacy_other_unit)
@@ -105,6 +105,7 @@ def parse_documents(docs: DataFrame, keys: list[str], legacy_other_unit: bool =
     )
     reason = (
         F.when(F.col("broken"), "not XML")
+        .when(~F.col("value").contains("<behavior"), "no behaviour")
         .when(_mentions(F.col("value")) != sum(F.size(c) for c in ("delays", "changes", "zones")), "nested elements")
         .when(F.col("start_ts").isNull(), "bad start date")
         .when(F.exists("delays", lambda x: x.isNull()), "bad delay")

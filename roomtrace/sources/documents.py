@@ -13,10 +13,16 @@ KEYS = ["house_id", "doc_no"]
 CHANGES = 32
 
 
+def _quoted(value: Column) -> Column:
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;")):
+        value = F.replace(value, F.lit(char), F.lit(name))
+    return value
+
+
 def _element(tag: str, **attributes: Column) -> Column:
     parts = [F.lit(f"<{tag}")]
     for name, value in attributes.items():
-        parts += [F.lit(f' {name}="'), value, F.lit('"')]
+        parts += [F.lit(f' {name}="'), _quoted(value), F.lit('"')]
     return F.concat(*parts, F.lit("/>"))
 
 
@@ -25,8 +31,8 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
 
     Times are cut to seconds, on/off is written as true/false.
     """
-    ranked = positions(events.withColumn("event_ts", F.date_trunc("second", "event_ts").cast("timestamp_ntz")),
-                       ["house_id"], name="rn", limits=limits)
+    to_seconds = events.withColumn("event_ts", F.date_trunc("second", "event_ts").cast("timestamp_ntz"))
+    ranked = positions(to_seconds, ["house_id"], name="rn", limits=limits)
     # Groups hold at most ``changes`` rows, whatever the size of a house.
     lists = (
         ranked.withColumn("doc_no", F.expr(f"(rn - 1) div {changes}"))

@@ -14,12 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roomtrace import schema as S
-from roomtrace.functions.expressions import presence_is, presence_key
-from roomtrace.operators.counts import area_activity, report_counts, status_counts
+from roomtrace.operators.counts import area_activity, presence_counts, report_counts, status_counts
 from roomtrace.operators.movement import movements
 from roomtrace.operators.reports import VISIT_PLACES, movement_lines, report_lines, visit_lines
 from roomtrace.operators.visits import visits
-from roomtrace.sources.lines import malformed_lines, parse_lines
+from roomtrace.sources.behaviour import (
+    paired_changes,
+    parse_documents,
+    rejected_documents,
+    with_area,
+    zone_conflicts,
+)
+from roomtrace.sources.lines import line_text, malformed_lines, parse_lines
 
 BATCH_INTERVAL = "60 seconds"
 
@@ -46,7 +52,7 @@ def per_batch(
     """Runs ``jobs`` on every batch; job ``x`` writes to ``path/x/batch_id=N``.
 
     Tables are parquet, but jobs named in ``text`` give lines and write text
-    files.  ``once`` takes what is there and stops; otherwise a batch starts
+    files, in folders by what columns follow the line.  ``once`` takes what is there and stops; otherwise a batch starts
     every minute.
     """
 
@@ -56,8 +62,11 @@ def per_batch(
             batch = batch.persist()
         try:
             for name, job in jobs.items():
-                kind = "text" if name in text else "parquet"
-                job(batch).write.format(kind).mode("overwrite").save(f"{path}/{name}/batch_id={batch_id}")
+                found = job(batch)
+                writer = found.write.mode("overwrite").format("text" if name in text else "parquet")
+                if name in text:
+                    writer = writer.partitionBy(*found.columns[1:])
+                writer.save(f"{path}/{name}/batch_id={batch_id}")
         finally:
             if several:
                 batch.unpersist()
@@ -93,6 +102,26 @@ def on_lines(job: Callable[[DataFrame], DataFrame], house: Column | None = None)
     return run
 
 
+def extract(stream: DataFrame, path: str, once: bool = False, legacy_other_unit: bool = False) -> StreamingQuery:
+    """Behaviour documents to device lines, under ``path/lines/batch_id=N/file=NAME``.
+
+    Documents that cannot be used go to the table ``rejected``, changes of
+    devices without a zone or with several to ``zone_conflicts``.
+    """
+    keys = ["file"]
+
+    def device_lines(parsed: DataFrame) -> DataFrame:
+        found = with_area(paired_changes(parsed, keys)).filter(F.col("area").isNotNull())
+        return found.select(line_text().alias("value"), "file")
+
+    jobs = {
+        "lines": device_lines,
+        "rejected": lambda parsed: rejected_documents(parsed, keys),
+        "zone_conflicts": lambda parsed: zone_conflicts(paired_changes(parsed, keys)),
+    }
+    return per_batch(parse_documents(stream, keys, legacy_other_unit), jobs, path, once, text=("lines",))
+
+
 def house_report(
     stream: DataFrame, path: str, run_ts: str, house: Column | None = None, once: bool = False
 ) -> StreamingQuery:
@@ -119,13 +148,11 @@ def show(stream: DataFrame, path: str, mode: str = "append", once: bool = False)
     return _start(stream.writeStream.format("console").outputMode(mode), f"{path}/_log", once)
 
 
-def running_presence(stream: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+def running_presence(
+    stream: DataFrame, path: str, areas: list[str] | None = None, once: bool = False
+) -> StreamingQuery:
     """Keeps one count per key for the whole stream; each batch writes the counts it changed."""
-    counts = (
-        stream.filter(presence_is(S.ON) & F.col("area").isNotNull())
-        .groupBy(presence_key().alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = presence_counts(stream, areas)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/running/batch_id={batch_id}")

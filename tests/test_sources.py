@@ -141,11 +141,31 @@ def test_unusable_documents(spark):
         doc(delay(1, "m"), start='<behavior startdate="2022-07-01">'),
         doc(delay("one", "m")),
         doc("<group>" + delay(1, "m") + "</group>" + change("d")),
+        doc(delay(1, "m")) + "and more",
+        "<other/>",
     )
-    assert reasons(df) == {"f0": "not XML", "f1": "bad start date", "f2": "bad delay", "f3": "nested elements"}
+    assert reasons(df) == {
+        "f0": "not XML",
+        "f1": "bad start date",
+        "f2": "bad delay",
+        "f3": "nested elements",
+        "f4": "not XML",
+        "f5": "no behaviour",
+    }
     assert events(df) == []
 
 
+def test_text_is_taken_as_it_is(spark):
+    body = zone("d&amp;1", " hall ") + "<![CDATA[" + delay(5, "h") + "]]>" + delay(1, "m") + change("d&amp;1", "p", " on ")
+    assert events(docs(spark, doc(body))) == [(dt.datetime(2022, 7, 1, 23, 1), "d&1", "p", " on ", " hall ")]
+
+
+def test_marks_are_quoted_in_written_documents(spark):
+    df = readings(spark, [("h", 60, 'a"b', "p<q", "1 & 2", "x")])
+    got = B.behaviour_events(documents.to_documents(df), documents.KEYS).first()
+    assert (got.id_device, got.property_device, got.value_property_device) == ('a"b', "p<q", "1 & 2")
+
+
 def test_missing_attribute_is_empty_text_or_a_reason(spark):
     df = docs(spark, doc(zone("d", "a") + '<delay value="3"/>' + '<set-device-property deviceId="d" value="true"/>'))
     assert events(df) == [(dt.datetime(2022, 7, 1, 23, 0, 3), "d", "", "on", "a")]
