@@ -20,13 +20,14 @@ def presence_is(value: str) -> Column:
     return (F.col("property_device") == S.PRESENCE) & (F.col("value_property_device") == value)
 
 
-# Fixed value: how a number may be written.
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-
-
 def number_value(value: Column) -> Column:
-    """Text reading as a number; NULL, and so never above a threshold, when it is not one."""
-    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+    """Text reading as a number; NULL, and so never above a threshold, when it is not one.
+
+    The cast alone would also take "NaN", "Infinity", "5d" and hexadecimal text.
+    """
+    end = F.substring(F.rtrim(value, F.lit(" \t\r\n")), -1, 1)
+    plain = (end.between("0", "9") | (end == ".")) & ~F.contains(value, F.lit("x")) & ~F.contains(value, F.lit("X"))
+    return F.when(plain, value.try_cast("double"))
 
 
 def normalise_value(value: Column) -> Column:

@@ -1,87 +1,90 @@
 """Counts by rule.
 
-Rules are a handful of rows given by the program, so they are broadcast to the
-readings and the count is combined per rule before the shuffle: one scan
-answers all rules, and at most one row per task, house and rule is shuffled.
+Readings are first counted per property, area and outcome of the tests, which
+is a few hundred groups at any size of the data and combined on the map side;
+the rules, a handful of rows given by the program, are then matched with those
+groups.  One scan answers all rules.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from roomtrace import schema as S
 from roomtrace.functions.expressions import number_value, presence_is, presence_key
 from roomtrace.plans.rules import (
     STATUS_RULES,
     TOTAL_RULES,
-    report_entries,
-    report_rules,
-    status_rules,
-    total_metrics,
-    total_rules,
+    Rule,
+    metric_table,
+    of_status,
+    of_totals,
+    report_table,
+    small_table,
+    status_table,
 )
 
 
-def _candidates(events: DataFrame, places: set[tuple[str, str]]) -> DataFrame:
-    # Stated as literals so that a columnar source can skip other readings.
-    return events.filter(
-        F.col("property_device").isin(sorted({prop for prop, _ in places}))
-        & F.col("area").isin(sorted({area for _, area in places}))
+def _hits(events: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(label, n) of the labels that count anything."""
+    prop, area, value = F.col("property_device"), F.col("area"), F.col("value_property_device")
+    texts = sorted({r.operand for r in rules if r.test == "="})
+    alarms = sorted({r.property_device for r in rules if r.test == ">"})
+    limits = sorted({float(r.operand) for r in rules if r.test == ">"})
+
+    # How many of the limits a number exceeds stands for the number itself.
+    above = [F.when(F.col("number") > limit, 1).otherwise(0) for limit in limits]
+    level = reduce(lambda a, b: a + b, above, F.lit(0))
+    groups = (
+        # Literals, so that a columnar source can skip other readings; the first sorts out most.
+        events.filter(value.isin(texts) | prop.isin(alarms))
+        .filter(prop.isin(sorted({r.property_device for r in rules})))
+        .filter(area.isin(sorted({r.area for r in rules})))
+        .select(
+            prop,
+            area,
+            F.when(value.isin(texts), value).alias("text"),
+            F.when(prop.isin(alarms), number_value(value)).alias("number"),
+        )
+        .groupBy(prop, area, "text", level.alias("level"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    tests = small_table(
+        events.sparkSession,
+        ["label", "r_property", "r_area", "operand", "least"],
+        [
+            (r.label, r.property_device, r.area, r.operand, limits.index(float(r.operand)) + 1 if r.test == ">" else 0)
+            for r in rules
+        ],
+    )
+    passed = F.when(F.col("least") > 0, F.col("level") >= F.col("least")).otherwise(F.col("text") == F.col("operand"))
+    same = (prop == F.col("r_property")) & (area == F.col("r_area"))
+    return groups.join(F.broadcast(tests), same & passed).groupBy("label").agg(F.sum("n").alias("n"))
 
 
-def _status_places(rules: list[tuple]) -> set[tuple[str, str]]:
-    return {(r[2], r[5]) for r in rules}
-
-
-def _total_places(rules: list[tuple]) -> set[tuple[str, str]]:
-    return {(r[2], r[4]) for r in rules}
-
-
-def _passes() -> Column:
-    """Whether a reading passes the test of its rule."""
-    above = number_value(F.col("value_property_device")) > F.col("operand").try_cast("double")
-    return F.when(F.col("test") == "=", F.col("value_property_device") == F.col("operand")).otherwise(above)
-
-
-def _hits(events: DataFrame, rules: DataFrame, test: Column) -> DataFrame:
-    r = F.broadcast(rules.withColumnsRenamed({"property_device": "r_property", "area": "r_area"}))
-    same = (F.col("property_device") == F.col("r_property")) & (F.col("area") == F.col("r_area"))
-    labels = [c for c in rules.columns if c not in ("property_device", "area", "test", "operand")]
-    return events.join(r, same).filter(test).groupBy(*labels).agg(F.count(F.lit(1)).alias("n"))
+def _fill(entries: DataFrame, label: str, hits: DataFrame) -> DataFrame:
+    """Every entry with its count, 0 included; neither side has more rows than there are rules."""
+    return entries.join(F.broadcast(hits.withColumnRenamed("label", label)), label, "left").select(
+        *entries.columns, F.coalesce("n", F.lit(0)).alias("n")
+    )
 
 
 def status_counts(events: DataFrame, rules: list[tuple] = STATUS_RULES) -> DataFrame:
-    """(rule_id, group_name, property_device, test, operand, area, n) for every rule, 0 included."""
-    table = status_rules(events.sparkSession, rules)
-    hits = _hits(_candidates(events, _status_places(rules)), table, _passes()).select("rule_id", "n")
-    # At most one row per rule on either side.
-    return table.join(F.broadcast(hits), "rule_id", "left").select(
-        *table.columns, F.coalesce("n", F.lit(0)).alias("n")
-    )
+    """(rule_id, group_name, property_device, test, operand, area, n) for every rule."""
+    return _fill(status_table(events.sparkSession, rules), "rule_id", _hits(events, of_status(rules)))
 
 
 def area_activity(events: DataFrame, group: str | None = None, rules: list[tuple] = TOTAL_RULES) -> DataFrame:
     """(group_name, metric, n): the totals of one room group, or of all."""
     rules = [r for r in rules if group is None or r[1] == group]
-    table = total_rules(events.sparkSession, rules)
-    test = F.col("value_property_device") == F.col("operand")
-    hits = _hits(_candidates(events, _total_places(rules)), table, test).select("metric", "n")
-    metrics = total_metrics(events.sparkSession, rules)
-    return metrics.join(F.broadcast(hits), "metric", "left").select(
-        "group_name", "metric", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    return _fill(metric_table(events.sparkSession, rules), "metric", _hits(events, of_totals(rules)))
 
 
 def report_counts(events: DataFrame) -> DataFrame:
     """(kind, label, group_name, property_device, test, area, n): all rules and all totals in one scan."""
-    spark = events.sparkSession
-    places = _status_places(STATUS_RULES) | _total_places(TOTAL_RULES)
-    hits = _hits(_candidates(events, places), report_rules(spark), _passes()).select("kind", "label", "n")
-    entries = report_entries(spark)
-    return entries.join(F.broadcast(hits), ["kind", "label"], "left").select(
-        *entries.columns, F.coalesce("n", F.lit(0)).alias("n")
-    )
+    return _fill(report_table(events.sparkSession), "label", _hits(events, of_status() + of_totals()))
 
 
 def presence_rows(events: DataFrame, area: str) -> DataFrame:

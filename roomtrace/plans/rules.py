@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,36 +55,41 @@ TOTAL_RULES = [
 ]
 
 
-def status_rules(spark: SparkSession, rules: list[tuple] = STATUS_RULES) -> DataFrame:
-    names = ["rule_id", "group_name", "property_device", "test", "operand", "area"]
-    return _table(spark, names, rules)
+class Rule(NamedTuple):
+    """Counts readings of one property and area that pass a test; rules of one label add up."""
+
+    label: str
+    group_name: str
+    property_device: str
+    test: str
+    operand: str
+    area: str
+
+
+def of_status(rules: list[tuple] = STATUS_RULES) -> list[Rule]:
+    return [Rule(*r) for r in rules]
 
 
-def total_rules(spark: SparkSession, rules: list[tuple] = TOTAL_RULES) -> DataFrame:
-    names = ["metric", "group_name", "property_device", "operand", "area"]
-    return _table(spark, names, rules)
+def of_totals(rules: list[tuple] = TOTAL_RULES) -> list[Rule]:
+    return [Rule(metric, group, prop, "=", value, area) for metric, group, prop, value, area in rules]
 
 
-def report_rules(spark: SparkSession) -> DataFrame:
-    """Both lists in one: ``label`` is the rule id or the metric."""
-    names = ["kind", "label", "group_name", "property_device", "test", "operand", "area"]
-    status = [("status", *r) for r in STATUS_RULES]
-    totals = [("total", metric, group, prop, "=", value, area) for metric, group, prop, value, area in TOTAL_RULES]
-    return _table(spark, names, status + totals)
+def status_table(spark: SparkSession, rules: list[tuple] = STATUS_RULES) -> DataFrame:
+    return small_table(spark, ["rule_id", "group_name", "property_device", "test", "operand", "area"], rules)
 
 
-def report_entries(spark: SparkSession) -> DataFrame:
+def metric_table(spark: SparkSession, rules: list[tuple] = TOTAL_RULES) -> DataFrame:
+    return small_table(spark, ["group_name", "metric"], list(dict.fromkeys((r[1], r[0]) for r in rules)))
+
+
+def report_table(spark: SparkSession) -> DataFrame:
     """What a report lists: every status rule and every metric once."""
     names = ["kind", "label", "group_name", "property_device", "test", "area"]
     status = [("status", rule, group, prop, test, area) for rule, group, prop, test, _, area in STATUS_RULES]
     totals = [("total", metric, group, None, None, None) for metric, group in dict.fromkeys(r[:2] for r in TOTAL_RULES)]
-    return _table(spark, names, status + totals)
-
-
-def total_metrics(spark: SparkSession, rules: list[tuple] = TOTAL_RULES) -> DataFrame:
-    return _table(spark, ["group_name", "metric"], list(dict.fromkeys((r[1], r[0]) for r in rules)))
+    return small_table(spark, names, status + totals)
 
 
-def _table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
-    columns = {name: pa.array([row[i] for row in rows], pa.string()) for i, name in enumerate(names)}
+def small_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    columns = {name: pa.array([row[i] for row in rows]) for i, name in enumerate(names)}
     return spark.createDataFrame(pa.table(columns))

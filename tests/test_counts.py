@@ -69,13 +69,27 @@ def test_no_readings_give_zero_for_every_rule(spark):
 
 
 def test_only_numbers_raise_an_alarm(spark):
-    values = ["293.15", "abc", None, "200", "200.5", "1e3", "NaN", "Infinity", "300d", " 250 ", "-300"]
+    values = ["293.15", "abc", None, "200", "200.5", "1e3", "NaN", "Infinity", "300d", "0x1p10", " 250 ", "-300", "."]
     df = readings(spark, [("h", i, "d", S.TEMPERATURE, v, "kitchen") for i, v in enumerate(values)])
     hits = {r.value_property_device for r in alarm_rows(df, S.TEMPERATURE, "kitchen", 200).collect()}
     assert hits == {"293.15", "200.5", "1e3", " 250 "}
     assert {r.rule_id: r.n for r in status_counts(df).collect()}["R16"] == 4
 
 
+def test_rules_may_share_places_and_limits(spark):
+    rules = [
+        ("A", "g", "temp", ">", "10", "x"),
+        ("B", "g", "temp", ">", "20.5", "x"),
+        ("C", "g", "temp", "=", "15", "x"),
+        ("D", "g", "temp", ">", "-5", "y"),
+        ("E", "g", "mode", "=", "auto", "x"),
+    ]
+    rows = [("temp", v, "x") for v in ("15", "15", "20.5", "30", "9", "auto", None)]
+    rows += [("temp", "-4", "y"), ("temp", "-6", "y"), ("mode", "auto", "x"), ("mode", "99", "x"), ("mode", "auto", "y")]
+    df = readings(spark, [("h", i, "d", *r) for i, r in enumerate(rows)])
+    assert {r.rule_id: r.n for r in status_counts(df, rules).collect()} == {"A": 4, "B": 1, "C": 2, "D": 1, "E": 1}
+
+
 def test_presence_rows_take_one_area_and_value(spark):
     df = readings(
         spark,

@@ -33,7 +33,15 @@ def test_no_product_and_no_python(spark, name):
         assert bad not in text
 
 
-@pytest.mark.parametrize("name", ["rule_counts", "visits_all", "movement_transitions", "running_presence_count"])
+def test_rules_are_matched_with_counted_groups(spark):
+    text = plan(entry.queries()["rule_counts"](spark, SF))
+    assert text.count("FileScan") == 1
+    # Nothing but the partial count stands between the scan and the first shuffle.
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "partial_count(1)" in below.splitlines()[1]
+
+
+@pytest.mark.parametrize("name", ["presence_count", "visits_all", "movement_transitions", "running_presence_count"])
 def test_one_scan_and_one_shuffle(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert text.count("FileScan") == 1
