@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, packing
+from roomtrace.llm import chat, packing, trie_bpe
 
 QUERIES = {
     "op6_sharding": packing.op6_sharding,
+    "op7_bpe": trie_bpe.op7_bpe,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
