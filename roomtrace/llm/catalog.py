@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, packing, trie_bpe
+from roomtrace.llm import chat, packing, token_files, trie_bpe
 
 QUERIES = {
+    "op3_token_files": token_files.op3_token_files,
     "op6_sharding": packing.op6_sharding,
     "op7_bpe": trie_bpe.op7_bpe,
     "op10_chat_formatting": chat.op10_chat_formatting,

@@ -33,7 +33,7 @@ from tokenizers import pre_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roomtrace.llm.tables import read
+from roomtrace.llm.tables import for_python, read
 from roomtrace.llm.words import WordTable, blocks, gather
 
 #: Characters of text that are put together before they are looked up.
@@ -310,7 +310,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows.column(0), lists, back], ["doc_id", "ids", "decoded"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return for_python(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -323,7 +323,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string())], ["doc_id", "text"])
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return for_python(tokens.select("doc_id", "ids")).mapInArrow(run, f"doc_id {kind}, text string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:
