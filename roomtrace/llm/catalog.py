@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, packing, token_files, trie_bpe
+from roomtrace.llm import chat, packing, quality_rules, token_files, trie_bpe
 
 QUERIES = {
     "op3_token_files": token_files.op3_token_files,
     "op6_sharding": packing.op6_sharding,
     "op7_bpe": trie_bpe.op7_bpe,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLE = {
+    "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }
