@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, packing, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, packing, quality_gam, quality_rules, token_files, trie_bpe
 
 QUERIES = {
     "op3_token_files": token_files.op3_token_files,
+    "op4_quality_gam": quality_gam.op4_quality_gam,
     "op6_sharding": packing.op6_sharding,
     "op7_bpe": trie_bpe.op7_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
