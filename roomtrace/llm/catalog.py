@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, packing, quality_gam, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, decontaminate, packing, quality_gam, quality_rules, token_files, trie_bpe
 
 QUERIES = {
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_token_files": token_files.op3_token_files,
     "op4_quality_gam": quality_gam.op4_quality_gam,
     "op6_sharding": packing.op6_sharding,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_decontamination": decontaminate.OP2_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }
