@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, decontaminate, packing, quality_gam, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, decontaminate, licenses, packing, quality_gam, quality_rules, token_files, trie_bpe
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
@@ -10,12 +10,14 @@ QUERIES = {
     "op4_quality_gam": quality_gam.op4_quality_gam,
     "op6_sharding": packing.op6_sharding,
     "op7_bpe": trie_bpe.op7_bpe,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLE = {
     "op2_decontamination": decontaminate.OP2_SQL,
+    "op8_license_scan": licenses.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }
