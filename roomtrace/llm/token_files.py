@@ -29,6 +29,7 @@ gives an empty file set; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roomtrace.llm.tables import read as read_table, for_python, text_or_empty
+from roomtrace.llm.trie_bpe import byte_characters
 from roomtrace.llm.words import WordTable, blocks
 from roomtrace.session import work_dir
 
@@ -81,6 +83,50 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------
 
+class Words:
+    """Ids of distinct stretches of text between blanks.
+
+    A Latin-1 word of letters, maybe with closing marks, goes to the library's model
+    directly, in lower case and byte characters, which is what the library's own
+    normalizing and splitting make of it.  All else goes through the whole library.
+    """
+
+    WORD = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+    MOST = 200_000
+
+    def __init__(self, coder) -> None:
+        self.coder, self.model = coder, coder.model
+        self.cores: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"": []}
+        self.bytes = {b: c for c, b in byte_characters().items()}
+
+    def library(self, new: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.coder.encode_batch_fast(new, add_special_tokens=False)]
+
+    def __call__(self, new: list[str]) -> list[list[int]]:
+        out, others = [], []
+        cores, marks, tokenize, word = self.cores, self.marks, self.model.tokenize, self.WORD
+        for i, stretch in enumerate(new):
+            if (found := word.fullmatch(stretch)) is None:
+                others.append(i)
+                out.append([])
+                continue
+            core, tail = found[1].lower(), found[2]
+            if (ids := cores.get(core)) is None:
+                if len(cores) >= self.MOST:
+                    cores.clear()
+                coded = core if core.isascii() else core.encode().decode("latin-1").translate(self.bytes)
+                ids = cores[core] = [t.id for t in tokenize(coded)]
+            if tail not in marks:
+                if len(marks) >= self.MOST:
+                    marks.clear()
+                marks[tail] = self.library([tail])[0] if tail else []
+            out.append(ids + marks[tail] if tail else ids)
+        for i, ids in zip(others, self.library([new[i] for i in others])):
+            out[i] = ids
+        return out
+
+
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -91,7 +137,7 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(path)
-        table = WordTable(lambda new: [e.ids for e in coder.encode_batch_fast(new, add_special_tokens=False)])
+        table = WordTable(Words(coder), 300_000)
         _TOKENIZERS.clear()
         _TOKENIZERS[path] = coder, table, [t.content for t in coder.get_added_tokens_decoder().values()]
     return _TOKENIZERS[path]
