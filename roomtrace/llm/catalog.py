@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, decontaminate, licenses, packing, quality_gam, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, decontaminate, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_token_files": token_files.op3_token_files,
     "op4_quality_gam": quality_gam.op4_quality_gam,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_ngram_join": ngram_join.OP1_SQL,
     "op2_decontamination": decontaminate.OP2_SQL,
     "op8_license_scan": licenses.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
