@@ -326,9 +326,10 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     return for_python(tokens.select("doc_id", "ids")).mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *also: str) -> DataFrame:
     return encoded.select(
         "doc_id",
+        *also,
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
