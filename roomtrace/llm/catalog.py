@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, decontaminate, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, decontaminate, html_cut, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_token_files": token_files.op3_token_files,
     "op4_quality_gam": quality_gam.op4_quality_gam,
+    "op5_html_cut": html_cut.op5_html_cut,
     "op6_sharding": packing.op6_sharding,
     "op7_bpe": trie_bpe.op7_bpe,
     "op8_license_scan": licenses.op8_license_scan,
