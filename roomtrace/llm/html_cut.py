@@ -70,6 +70,8 @@ OUTER_WORDS = frozenset(
     " comment comments disqus reply replies respond social share sharing related recommended breadcrumb breadcrumbs"
     " pagination pager newsletter subscribe subscription signup login search copyright legal toolbar skip".split()
 )
+#: Those of them that also hold for an article inside: readers' comments are often marked up as articles.
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
 OUTER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split()
 )
@@ -79,9 +81,9 @@ START = {
     "constant": 0.2,
     "main tag around": 2.0,
     "main tag elsewhere": -3.0,
-    "outer tag around": -5.0,
+    "outer tag around": -8.0,
     "main word around": 1.0,
-    "outer word around": -5.0,
+    "outer word around": -8.0,
     "share of links": -2.5,
     "log words": 0.3,
     "sentence marks": 0.5,
@@ -112,6 +114,7 @@ class Node:
     outer: bool = False
     main_word: bool = False
     outer_word: bool = False
+    comment: bool = False
     link: bool = False
 
 
@@ -125,9 +128,11 @@ class Block:
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
-    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.link)
+    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link)
     if tag in MAIN_TAGS:
         node.main = True
+        # What the layout around an article is called says nothing about it.
+        node.outer_word = node.comment
     # A header inside an article is its heading, not the page's.
     elif tag in OUTER_TAGS and not (tag == "header" and parent.main):
         node.outer = True
@@ -141,6 +146,7 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
                 node.outer |= any(w in OUTER_ROLES for w in words)
                 node.main |= "main" in words or "article" in words
             elif tag not in ("body", "html"):
+                node.comment |= any(w in COMMENT_WORDS for w in words)
                 node.outer_word |= any(w in OUTER_WORDS for w in words)
                 node.main_word |= any(w in MAIN_WORDS for w in words)
     return node
