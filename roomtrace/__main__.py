@@ -1,9 +1,11 @@
 """Jobs for spark-submit.
 
-    extract SCRIPTS OUT        behaviour scripts -> OUT/lines (device lines)
+    extract SCRIPTS OUT        behaviour scripts -> OUT/lines (table of device lines)
     report LINES OUT           device lines -> OUT/report, OUT/movement, OUT/visits
     running LINES OUT          device lines -> OUT/running (presence counts by area)
 
+LINES is the table that extract wrote (OUT/lines), or text files with --text.
+
 Each takes the files that are there and stops; with --watch it goes on, one
 batch a minute.  Files that were taken are remembered under OUT.
 """
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from roomtrace.session import get_session
 from roomtrace.sources.behaviour import stream_documents
-from roomtrace.sources.lines import parse_lines, stream_lines
+from roomtrace.sources.lines import parse_lines, stream_line_table, stream_lines
 from roomtrace.streaming import jobs
 
 
@@ -26,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=["extract", "report", "running"])
     parser.add_argument("source", help="folder (or pattern) of input files")
     parser.add_argument("out", help="output folder")
+    parser.add_argument("--text", action="store_true", help="LINES are text files; each is a house")
     parser.add_argument("--watch", action="store_true", help="keep running")
     parser.add_argument("--one-house", action="store_true", help="report: all files of a batch are one house")
     parser.add_argument("--areas", nargs="*", help="running: only these areas")
@@ -39,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "extract":
         query = jobs.extract(stream_documents(spark, args.source, **options), args.out, once)
     else:
-        lines = stream_lines(spark, args.source, **options)
+        lines = (stream_lines if args.text else stream_line_table)(spark, args.source, **options)
         if args.job == "report":
             house = F.lit("home") if args.one_house else None
             query = jobs.house_report(lines, args.out, args.run_ts, house, once)

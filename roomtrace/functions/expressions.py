@@ -7,13 +7,27 @@ from pyspark.sql import Column, functions as F
 from roomtrace import schema as S
 
 
+# Zone-less times are counted from a zone-less epoch, so the session's zone plays no part.
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_MICROSECOND = "INTERVAL '0.000001' SECOND"
+
+
 def micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a zone-less timestamp (session zone UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since the epoch of a zone-less timestamp."""
+    return F.call_function("div", ts - F.expr(_EPOCH), F.expr(_MICROSECOND))
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    return F.expr(_EPOCH) + us * F.expr(_MICROSECOND)
+
+
+def seconds(ts: Column) -> Column:
+    """Whole seconds since the epoch, rounded down."""
+    return F.floor(micros(ts) / F.lit(1e6)).cast("bigint")
+
+
+def from_seconds(s: Column) -> Column:
+    return from_micros(s * 1_000_000)
 
 
 def presence_is(value: str) -> Column:
@@ -35,7 +49,8 @@ def normalise_value(value: Column) -> Column:
 
 
 def parse_start_ts(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(S.START_TIME_FORMAT)).cast("timestamp_ntz")
+    parts = F.regexp_replace(text, r"^(\d{2})/(\d{2})/(\d{4})-(\d{2}:\d{2}:\d{2})$", "$3-$2-$1 $4")
+    return F.when(parts != text, parts).try_cast("timestamp_ntz")
 
 
 def delay_seconds(value: Column, unit: Column, legacy_other_unit: bool = False) -> Column:
@@ -56,4 +71,10 @@ def presence_key() -> Column:
 
 
 def line_time(ts: Column) -> Column:
-    return F.date_format(ts, S.LINE_TIME_FORMAT)
+    # The text of a zone-less time begins with S.LINE_TIME_FORMAT.
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def start_time(ts: Column) -> Column:
+    """A time as scripts write it."""
+    return F.regexp_replace(line_time(ts), r"^(\d{4})-(\d{2})-(\d{2}) (.*)$", "$3/$2/$1-$4")

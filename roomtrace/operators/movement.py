@@ -17,7 +17,7 @@ KEYS = ["house_id"]
 def movements(events: DataFrame, limits: Limits | None = None) -> DataFrame:
     """(house_id, event_id, from_area, to_area, from_ts, to_ts), one row per moved-on reading."""
     rows = events.filter(
-        presence_is(S.ON) & F.col("house_id").isNotNull() & F.col("area").isNotNull()
+        presence_is(S.ON) & F.col("house_id").isNotNull() & F.col("area").isNotNull() & F.col("event_ts").isNotNull()
     ).select(*KEYS, micros(F.col("event_ts")).alias("us"), "area", "event_id", F.lit(True).alias("leaves"))
     slices = Slices(rows, KEYS, limits)
     if slices.hot:

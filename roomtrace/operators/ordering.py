@@ -14,12 +14,14 @@ def positions(
 ) -> DataFrame:
     """Adds the 1-based position of each row in its group, ordered by event_ts, ``ties``, event_id.
 
+    Rows without a time have no position and are left out.
+
     A hot group is counted slice by slice: each slice starts from the number of
     rows in the slices before it, which enters its window as one extra row.
     """
     ties = ties or []
     columns = [c for c in events.columns]
-    rows = events.withColumn("us", micros(F.col("event_ts")))
+    rows = events.filter(F.col("event_ts").isNotNull()).withColumn("us", micros(F.col("event_ts")))
     slices = Slices(rows.select(*dict.fromkeys([*keys, "us", "event_id"])), keys, limits, over=["event_id"])
     order = ["us", *ties, "event_id"]
     if not slices.hot:
@@ -27,12 +29,12 @@ def positions(
         return rows.withColumn(name, F.row_number().over(here).cast("bigint")).select(*columns, name)
 
     def cut(df: DataFrame, placed: DataFrame) -> DataFrame:
-        # Crowded slices are cut on along the order: by instant, by tie column,
-        # then into ranges of event ids.  Elsewhere these cuts are NULL.
+        # A crowded slice is one instant; it is cut on along the order, by tie
+        # column and then into ranges of event ids.  Elsewhere this cut is NULL.
         if not slices.crowded:
             return placed.withColumn("cut", F.lit(None).cast("int"))
         found = slices.crowding(placed, {"_lo": "lo_event_id", "_step": "step_event_id"}, "left")
-        finer = F.struct("us", *ties, F.expr("(event_id - _lo) div _step").alias("ids"))
+        finer = F.struct(*ties, F.expr("(event_id - _lo) div _step").alias("ids"))
         return found.withColumn("cut", F.when(F.col("_step").isNotNull(), finer)).drop("_lo", "_step")
 
     part = [*slices.cell, "cut"]

@@ -32,6 +32,7 @@ def visits(events: DataFrame, areas: list[str] | None = None, limits: Limits | N
         (F.col("property_device") == S.PRESENCE)
         & F.col("value_property_device").isin(S.ON, S.OFF)
         & F.col("house_id").isNotNull()
+        & F.col("event_ts").isNotNull()
         & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
     ).select(
         *KEYS,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from roomtrace import schema as S
 from roomtrace.functions import expressions as E
 from roomtrace.operators import counts, ordering, reports
+from roomtrace.operators.splitting import Limits
 from roomtrace.operators.movement import movements
 from roomtrace.operators.visits import VISIT_AREAS, visits
 from roomtrace.plans.rules import STATUS_RULES
@@ -97,7 +98,7 @@ def _normalise_value(d: DataFrame) -> DataFrame:
 
 
 def _parse_start_ts(d: DataFrame) -> DataFrame:
-    text = d.select("event_id", F.date_format("event_ts", S.START_TIME_FORMAT).alias("start_text"))
+    text = d.select("event_id", E.start_time(F.col("event_ts")).alias("start_text"))
     return text.select("event_id", "start_text", E.parse_start_ts(F.col("start_text")).alias("start_ts"))
 
 
@@ -151,8 +152,59 @@ def _behaviour_to_events(d: DataFrame) -> DataFrame:
     return behaviour.behaviour_events(to_documents(d), DOC_KEYS)
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of files, one per document; some are marked as done, some have the mark in their stem."""
+    mark = F.col("doc_id") % 5
+    name = F.concat(
+        F.when(mark == 1, "COMPLETED_").otherwise(""),
+        F.concat_ws("_", "source", F.col("doc_id").cast("string")),
+        F.when(mark == 2, ".bhv.COMPLETED").when(mark == 3, ".COMPLETED.bhv").otherwise(".bhv"),
+    )
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select(name.alias("name"), F.octet_length("text").cast("bigint").alias("length"))
+
+
 def _file_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.accepted_files(files.list_files(spark, sf_dir)).select("name", "length")
+    return files.accepted_files(_listing(spark, sf_dir)).select("name", "length")
+
+
+def _refused_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.refused_files(_listing(spark, sf_dir)).select("name", "length", "reason")
+
+
+def _nested_documents(d: DataFrame) -> DataFrame:
+    """Documents of up to 200 changes whose elements lie in groups of groups."""
+    grouped = to_documents(d, changes=200).withColumn(
+        "value",
+        F.regexp_replace(
+            F.regexp_replace("value", r"(?s)(<behavior[^>]*>)(.*)(</behavior>)", "$1<home><part>$2</part></home>$3"),
+            r"(<set-device-property[^>]*/>)\n",
+            "$1</part><part>\n",
+        ),
+    )
+    return behaviour.behaviour_events(grouped, DOC_KEYS)
+
+
+# --- scripts to reports -----------------------------------------------------
+
+
+def _pipeline(job: Callable[[DataFrame], DataFrame]) -> Query:
+    """Readings as lines of two sources per house in one table, then ``job`` with each source as a house."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = work_dir(spark, "homes")
+        readings = device_events(spark, sf_dir)
+        source = F.concat(F.lit("home-"), F.col("house_id").cast("string"), F.when(F.col("event_id") % 2 == 0, "/a").otherwise("/b"))
+        readings.select(lines.line_text().alias("value"), source.alias("file"), "event_id").write.parquet(path)
+        back = lines.parse_lines(spark.read.parquet(path)).withColumnRenamed("file", "house_id")
+        return job(back)
+
+    return query
+
+
+def _with_limits(job: Callable, *columns: str) -> Callable[[DataFrame], DataFrame]:
+    """``job`` with the limits of a table a thousand times as large: hot groups are cut."""
+    return lambda d: job(d, limits=Limits(rows=200, groups=1000)).select(*columns or "*")
 
 
 # --- counts and reports --------------------------------------------------
@@ -233,7 +285,9 @@ QUERIES: dict[str, Query] = {
     "device_zone_join": on_readings(_device_zone_join),
     "zone_conflicts": on_readings(_zone_conflicts),
     "behaviour_to_events": on_readings(_behaviour_to_events),
+    "nested_documents": on_readings(_nested_documents),
     "file_gate": _file_gate,
+    "refused_files": _refused_files,
     "csv_roundtrip": _csv_roundtrip,
     "presence_on_rows": on_presence(lambda d: counts.presence_rows(d, "kitchen").select(*FIELDS), S.ON),
     "value_alarm_rows": on_readings(
@@ -242,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "status_count": on_readings(_rules("="), _properties("=")),
     "value_alarm_count": on_readings(_rules(">"), _properties(">")),
     "rule_counts": on_readings(_rules(None)),
+    "rule_counts_of_lines": on_readings(lambda d: _rules(None)(lines.parse_lines(_broken_lines(d)))),
     "area_activity_bedroom": on_readings(_activity("bedroom"), [S.POWER, S.PRESENCE, S.DOOR]),
     "area_activity_bathroom": on_readings(_activity("bathroom"), [S.POWER, S.PRESENCE]),
     "area_activity_kitchen": on_readings(_activity("kitchen"), [S.POWER, S.PRESENCE]),
@@ -257,6 +312,13 @@ QUERIES: dict[str, Query] = {
     },
     "sorted_events": on_readings(lambda d: ordering.sorted_events(d).select(*FIELDS, "rn")),
     "first_event": on_readings(lambda d: ordering.first_event(d).select(*FIELDS)),
+    "pipeline_movements": _pipeline(movements),
+    "pipeline_visits": _pipeline(visits),
+    "running_presence_split": on_presence(
+        lambda d: ordering.running_presence(d, limits=Limits(200, 1000)).select("key", "event_id", "n"), S.ON
+    ),
+    "movement_split": on_presence(_with_limits(movements), S.ON),
+    "visits_split": on_presence(_with_limits(visits)),
     "report_lines": on_readings(_report_lines),
     "movement_lines": on_presence(lambda d: reports.movement_lines(movements(d)), S.ON),
     "visit_lines": on_presence(lambda d: reports.visit_lines(visits(d, list(reports.VISIT_PLACES)))),

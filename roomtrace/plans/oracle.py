@@ -77,7 +77,7 @@ v AS (
 )"""
 
 
-def _documents(area: str) -> str:
+def _documents(area: str, changes: int = DOC_CHANGES) -> str:
     """Readings numbered in their documents: doc_no, pos, time in seconds and zone."""
     return f"""
 e AS (
@@ -85,7 +85,7 @@ e AS (
     row_number() OVER (PARTITION BY house_id ORDER BY {SECOND}, event_id) - 1 AS place
   FROM d
 ), f AS (
-  SELECT *, place // {DOC_CHANGES} AS doc_no, CAST(place % {DOC_CHANGES} AS INT) AS pos FROM e
+  SELECT *, place // {changes} AS doc_no, CAST(place % {changes} AS INT) AS pos FROM e
 ), g AS (
   SELECT *,
     CAST(epoch(sec_ts) AS BIGINT) - CAST(epoch(first_value(date_trunc('hour', sec_ts)) OVER w) AS BIGINT) AS elapsed,
@@ -266,3 +266,35 @@ ORACLE: dict[str, str] = {
     "stream_movement": _sql("SELECT CAST(0 AS BIGINT) AS batch_id, * FROM m", MOVES),
 }
 ORACLE["stream_running_presence"] = ORACLE["presence_count"]
+ORACLE["running_presence_split"] = ORACLE["running_presence_count"]
+ORACLE["movement_split"] = ORACLE["movement_transitions"]
+ORACLE["visits_split"] = ORACLE["visits_all"]
+
+ORACLE["nested_documents"] = _sql(
+    """SELECT house_id, doc_no, pos, sec_ts AS event_ts, id_device, property_device, value_property_device, area
+       FROM g""",
+    _documents("area", 200),
+)
+ORACLE["rule_counts_of_lines"] = _sql(
+    "SELECT rule_id, group_name, property_device, area, n FROM s",
+    STATUS.replace("LEFT JOIN d ON", "LEFT JOIN (SELECT * FROM d WHERE property_device <> 'flood.alarm') d ON"),
+)
+
+# Readings of two sources per house, cut to seconds.
+HOMES = f"""
+q AS (
+  SELECT event_id, concat('home-', CAST(house_id AS VARCHAR), CASE WHEN event_id % 2 = 0 THEN '/a' ELSE '/b' END) AS house_id,
+    {SECOND} AS event_ts, id_device, value_property_device, area
+  FROM p
+)"""
+ORACLE["pipeline_movements"] = _sql("SELECT * FROM m", HOMES, MOVES.replace("FROM p x JOIN p y", "FROM q x JOIN q y"))
+ORACLE["pipeline_visits"] = _sql("SELECT * FROM v", HOMES, VISITS.replace("FROM p x JOIN p y", "FROM q x JOIN q y"))
+
+LISTING = """
+SELECT concat(CASE WHEN doc_id % 5 = 1 THEN 'COMPLETED_' ELSE '' END, source, '_', CAST(doc_id AS VARCHAR),
+    CASE doc_id % 5 WHEN 2 THEN '.bhv.COMPLETED' WHEN 3 THEN '.COMPLETED.bhv' ELSE '.bhv' END) AS name,
+  CAST(strlen(text) AS BIGINT) AS length, doc_id % 5 IN (2, 3) AS done
+FROM documents"""
+ORACLE["file_gate"] = f"SELECT name, length FROM ({LISTING}) WHERE NOT done AND length >= 525"
+ORACLE["refused_files"] = f"""SELECT name, length, CASE WHEN done THEN 'done' ELSE 'too small' END AS reason
+FROM ({LISTING}) WHERE done OR length < 525"""

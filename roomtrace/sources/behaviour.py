@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from roomtrace.functions.expressions import delay_seconds, normalise_value, parse_start_ts
-from roomtrace.sources.files import DONE, MIN_BYTES
+from roomtrace.functions.expressions import delay_seconds, from_seconds, normalise_value, parse_start_ts, seconds
+from roomtrace.sources.files import gate
 
 # The elements and attributes that are read.
 DOCUMENT = (
@@ -24,22 +24,22 @@ READ_TAGS = ["delay", "set-device-property", "move-device-zone"]
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value), one row per accepted file under ``path``."""
-    return _accepted(spark.read.text(path, wholetext=True))
+    """(file, value), one row per file under ``path``; ``file`` is its whole path.
+
+    Files that the gate refuses have no text but their reason in ``gated``.
+    """
+    return _gated(spark.read.text(path, wholetext=True))
 
 
 def stream_documents(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The same for files as they arrive; the log of the stream marks them as done."""
-    return _accepted(spark.readStream.options(**options).text(path, wholetext=True))
+    return _gated(spark.readStream.options(**options).text(path, wholetext=True))
 
 
-def _accepted(texts: DataFrame) -> DataFrame:
-    return (
-        texts.select(
-            F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("size"), "value"
-        )
-        .filter(~F.col("file").rlike(DONE) & (F.col("size") >= MIN_BYTES))
-        .drop("size")
+def _gated(texts: DataFrame) -> DataFrame:
+    why = gate(F.col("_metadata.file_name"), F.col("_metadata.file_size"))
+    return texts.select(F.col("_metadata.file_path").alias("file"), "value", why.alias("gated")).withColumn(
+        "value", F.when(F.col("gated").isNull(), F.col("value"))
     )
 
 
@@ -52,10 +52,27 @@ def _list(name: str) -> Column:
     return F.coalesce(F.col(f"d.`{name}`"), F.array())
 
 
-def _mentions(value: Column) -> Column:
-    """How many of the read elements the text has, at any depth; comments and literal text do not count."""
-    bare = F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
-    return F.regexp_count(bare, F.lit(f"<({'|'.join(READ_TAGS)})[\\s/>]"))
+# A start tag up to its end; ">" may stand in quotes.
+_REST = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+
+
+def _bare(value: Column) -> Column:
+    """The text without comments and literal text."""
+    return F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+
+
+def _grouped(value: Column) -> Column:
+    """Whether elements other than those that are read, or the root inside itself, may hold some of them."""
+    known = "|".join(["behavior", *READ_TAGS])
+    return F.contains(value, F.lit("<behavior")) & (_bare(value).rlike(f"<(?!(?:{known})[\\s/>])[A-Za-z_:]") | (F.regexp_count(_bare(value), F.lit(r"<behavior[\s/>]")) > 1))
+
+
+def _flat(value: Column) -> Column:
+    """The document with its read elements, found at any depth, right under the root, in their order."""
+    bare = _bare(value)
+    elements = F.regexp_extract_all(bare, F.lit(f"<(?:{'|'.join(READ_TAGS)}){_REST}"), F.lit(0))
+    alone = F.transform(elements, lambda e: F.regexp_replace(e, r"/?>$", "/>"))
+    return F.concat(F.regexp_extract(bare, f"<behavior{_REST}", 0), F.array_join(alone, ""), F.lit("</behavior>"))
 
 
 def _whole_number(text: Column) -> Column:
@@ -66,18 +83,25 @@ def parse_documents(docs: DataFrame, keys: list[str], legacy_other_unit: bool =
     """``keys``, start_ts, delays (seconds), changes (device, property, value),
     zones (device, zone) and ``reason``, which is NULL for a usable document.
 
-    With ``strict``, a document in which an attribute is missing is not usable
-    either.
+    Elements are taken in the order of the document, at any depth.  With
+    ``strict``, a document in which an attribute is missing is not usable either.
     """
-    parsed = docs.select(
+    options = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
+    gated = F.col("gated") if "gated" in docs.columns else F.lit(None).cast("string")
+    grouped = docs.select(*keys, "value", gated.alias("gated"), _grouped(F.col("value")).alias("grouped"))
+    parsed = grouped.select(
         *keys,
-        F.from_xml("value", DOCUMENT, {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}).alias("d"),
-        F.col("value"),
+        F.from_xml(F.when(F.col("grouped"), _flat(F.col("value"))).otherwise(F.col("value")), DOCUMENT, options).alias("d"),
+        # Whether a document that is flattened was one at all.
+        F.from_xml(F.when(F.col("grouped"), F.col("value")), "_startdate string, _corrupt_record string", options).alias("whole"),
+        "value",
+        "gated",
     )
     lists = parsed.select(
         *keys,
         "value",
-        (F.col("d._corrupt_record").isNotNull() | ~F.col("value").rlike(r">\s*$")).alias("broken"),
+        "gated",
+        (F.col("d._corrupt_record").isNotNull() | F.col("whole._corrupt_record").isNotNull() | ~F.col("value").rlike(r">\s*$")).alias("broken"),
         parse_start_ts(F.col("d._startdate")).alias("start_ts"),
         F.transform(
             _list("delay"), lambda x: delay_seconds(_whole_number(x["_value"]), _text(x["_unit"]), legacy_other_unit)
@@ -104,9 +128,9 @@ def parse_documents(docs: DataFrame, keys: list[str], legacy_other_unit: bool =
         ).alias("gaps"),
     )
     reason = (
-        F.when(F.col("broken"), "not XML")
+        F.when(F.col("gated").isNotNull(), F.col("gated"))
+        .when(F.col("broken"), "not XML")
         .when(~F.col("value").contains("<behavior"), "no behaviour")
-        .when(_mentions(F.col("value")) != sum(F.size(c) for c in ("delays", "changes", "zones")), "nested elements")
         .when(F.col("start_ts").isNull(), "bad start date")
         .when(F.exists("delays", lambda x: x.isNull()), "bad delay")
         .when(F.size("delays") < F.size("changes"), "fewer delays than changes")
@@ -150,8 +174,7 @@ def delay_list(parsed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _at() -> Column:
-    start = F.unix_timestamp(F.col("start_ts").cast("timestamp"))
-    return F.timestamp_seconds(start + F.col("elapsed")).cast("timestamp_ntz")
+    return from_seconds(seconds(F.col("start_ts")) + F.col("elapsed"))
 
 
 def paired_changes(parsed: DataFrame, keys: list[str]) -> DataFrame:
@@ -160,19 +183,32 @@ def paired_changes(parsed: DataFrame, keys: list[str]) -> DataFrame:
 
     ``zones`` are the zones of the device in document order.
     """
-    paired = F.zip_with(
-        F.col("changes"),
-        F.slice(F.col("delays"), F.lit(1), F.size("changes")),
-        lambda c, d: F.struct(
-            c["device"].alias("device"),
-            c["property"].alias("property"),
-            c["value"].alias("value"),
-            d.alias("delay"),
-            F.transform(
-                F.filter("zones", lambda z: z["device"] == c["device"]), lambda z: z["zone"]
-            ).alias("zones"),
-        ),
+    # The zones of each device are gathered once per document, then looked up by change.
+    devices = F.array_distinct(F.transform("zones", lambda z: z["device"]))
+    by_device = F.map_from_entries(
+        F.transform(
+            devices,
+            lambda name: F.struct(
+                name, F.transform(F.filter("zones", lambda z: z["device"] == name), lambda z: z["zone"]).alias("zones")
+            ),
+        )
     )
+    none = F.array().cast("array<string>")
+
+    def pairs(zones_of: Column) -> Column:
+        return F.zip_with(
+            F.col("changes"),
+            F.slice(F.col("delays"), F.lit(1), F.size("changes")),
+            lambda c, d: F.struct(
+                c["device"].alias("device"),
+                c["property"].alias("property"),
+                c["value"].alias("value"),
+                d.alias("delay"),
+                F.coalesce(F.try_element_at(zones_of, c["device"]), none).alias("zones"),
+            ),
+        )
+
+    paired = F.flatten(F.transform(F.array(by_device), pairs))
     exploded = _elements(parsed, keys, paired).select(*keys, "start_ts", "pos", "x.*")
     return prefix_delays(exploded, keys).select(
         *keys,

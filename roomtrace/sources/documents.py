@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roomtrace import schema as S
+from roomtrace.functions.expressions import from_seconds, seconds, start_time
 from roomtrace.operators.ordering import positions
 from roomtrace.operators.splitting import Limits
 
@@ -31,7 +32,7 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
 
     Times are cut to seconds, on/off is written as true/false.
     """
-    to_seconds = events.withColumn("event_ts", F.date_trunc("second", "event_ts").cast("timestamp_ntz"))
+    to_seconds = events.withColumn("event_ts", from_seconds(seconds(F.col("event_ts"))))
     ranked = positions(to_seconds, ["house_id"], name="rn", limits=limits)
     # Groups hold at most ``changes`` rows, whatever the size of a house.
     lists = (
@@ -42,7 +43,7 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
                 F.collect_list(
                     F.struct(
                         "rn",
-                        F.unix_timestamp(F.col("event_ts").cast("timestamp")).alias("at"),
+                        seconds(F.col("event_ts")).alias("at"),
                         "id_device",
                         "property_device",
                         "value_property_device",
@@ -51,12 +52,12 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
                 )
             ).alias("rows")
         )
-        .withColumn("start", F.date_trunc("hour", F.timestamp_seconds(F.col("rows")[0]["at"])))
+        .withColumn("start", F.expr("rows[0].at - pmod(rows[0].at, 3600)"))
         .withColumn(
             "gaps",
             F.zip_with(
                 "rows",
-                F.concat(F.array(F.unix_timestamp("start")), F.transform("rows", lambda r: r["at"])),
+                F.concat(F.array("start"), F.transform("rows", lambda r: r["at"])),
                 lambda r, before: r["at"] - before,
             ),
         )
@@ -83,8 +84,8 @@ def to_documents(events: DataFrame, changes: int = CHANGES, limits: Limits | Non
         *KEYS,
         F.concat(
             F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<behavior startdate="'),
-            F.date_format("start", S.START_TIME_FORMAT),
-            F.lit('" factor="1440">'),
+            start_time(from_seconds(F.col("start"))),
+            F.lit('">'),
             F.array_join(zones, "\n"),
             F.array_join(steps, "\n"),
             F.lit("</behavior>"),

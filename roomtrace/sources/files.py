@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A file marked as done has the word in its suffixes, and its
 # size in MiB must not round to 0.000, which first holds at 525 bytes.
@@ -17,6 +17,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def gate(name: Column, length: Column) -> Column:
+    """Why a file is not taken, NULL for one that is."""
+    return F.when(name.rlike(DONE), "done").when(length < MIN_BYTES, "too small")
+
+
 def accepted_files(files: DataFrame) -> DataFrame:
     """Files neither done nor too small.  Nothing is renamed or deleted."""
-    return files.filter(~F.col("name").rlike(DONE) & (F.col("length") >= MIN_BYTES))
+    return files.filter(gate(F.col("name"), F.col("length")).isNull())
+
+
+def refused_files(files: DataFrame) -> DataFrame:
+    """The other files, with the ``reason``."""
+    return files.withColumn("reason", gate(F.col("name"), F.col("length"))).filter(F.col("reason").isNotNull())

@@ -11,51 +11,64 @@ from roomtrace.functions.expressions import line_time
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, event_id, value), one row per line of the text files under ``path``."""
     return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("event_id"), "value"
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("event_id"), "value"
     )
 
 
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The same for files as they arrive under ``path``."""
     return spark.readStream.options(**options).text(path).select(
-        F.col("_metadata.file_name").alias("file"), "value"
+        F.col("_metadata.file_path").alias("file"), "value"
     )
 
 
+def stream_line_table(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """(file, value) of a table of lines as it grows; ``file`` is the source each line came from."""
+    return spark.readStream.schema("value string, file string").options(**options).parquet(path).select("file", "value")
+
+
 def _first_line() -> Column:
     return F.substring_index("value", "\n", 1)
 
 
 def _reason() -> Column:
-    """Why a line is no reading, NULL for a reading.
+    """What is wrong with a line, NULL for a whole reading.
 
     Only plain string functions over ``value``: the condition is evaluated at
     the scan, before the line is split.
     """
+    time = F.substring_index(_first_line(), ",", 1).try_cast("timestamp_ntz")
+    return F.when(F.col("value").isNull() | _short(), "short line").when(time.isNull(), "bad time")
+
+
+def _short() -> Column:
     line = _first_line()
     commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    time = F.substring_index(line, ",", 1).try_cast("timestamp_ntz")
-    return F.when(commas < len(S.LINE_FIELDS) - 1, "short line").when(time.isNull(), "bad time")
+    return commas < len(S.LINE_FIELDS) - 1
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Readings of the well-formed lines; fields after the fifth are ignored.
-    Other columns of ``lines`` (file, event_id, ...) are kept."""
+    """Readings of the lines with all fields; fields after the fifth are ignored.
+
+    A time that can't be read is NULL: such readings are counted, but have no
+    place in time, so matching and ordering leave them out.  Other columns of
+    ``lines`` (file, event_id, ...) are kept.
+    """
     kept = [c for c in lines.columns if c != "value"]
     time, *others = S.LINE_FIELDS
     return (
-        lines.filter(_reason().isNull())
+        lines.filter(F.col("value").isNotNull() & ~_short())
         .withColumn("fields", F.split(_first_line(), ",", -1))
         .select(
             *kept,
-            F.col("fields")[0].cast("timestamp_ntz").alias(time),
+            F.col("fields")[0].try_cast("timestamp_ntz").alias(time),
             *[F.col("fields")[i].alias(name) for i, name in enumerate(others, start=1)],
         )
     )
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
-    """Lines that ``parse_lines`` leaves out, with the reason."""
+    """Lines that are no whole readings, with the reason; short ones are left out by ``parse_lines``."""
     return lines.withColumn("reason", _reason()).filter(F.col("reason").isNotNull())
 
 

@@ -91,7 +91,7 @@ HOUSE_JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
 def on_lines(job: Callable[[DataFrame], DataFrame], house: Column | None = None) -> Callable[[DataFrame], DataFrame]:
     """``job`` for a batch of device lines instead of readings.
 
-    Every file is a house of its own unless ``house`` says otherwise; with
+    Every source ``file`` is a house of its own unless ``house`` says otherwise; with
     ``F.lit("home")`` all files of a batch belong together.
     """
 
@@ -103,10 +103,12 @@ def on_lines(job: Callable[[DataFrame], DataFrame], house: Column | None = None)
 
 
 def extract(stream: DataFrame, path: str, once: bool = False, legacy_other_unit: bool = False) -> StreamingQuery:
-    """Behaviour documents to device lines, under ``path/lines/batch_id=N/file=NAME``.
+    """Behaviour documents to device lines: the table ``path/lines/batch_id=N`` of ``value, file``.
 
-    Documents that cannot be used go to the table ``rejected``, changes of
-    devices without a zone or with several to ``zone_conflicts``.
+    ``file`` is the whole path of the script a line came from, so lines of
+    different homes stay apart however the rows are stored.  Documents that cannot
+    be used, and files that the gate refuses, go to the table ``rejected``, changes
+    of devices without a zone or with several to ``zone_conflicts``.
     """
     keys = ["file"]
 
@@ -119,7 +121,7 @@ def extract(stream: DataFrame, path: str, once: bool = False, legacy_other_unit:
         "rejected": lambda parsed: rejected_documents(parsed, keys),
         "zone_conflicts": lambda parsed: zone_conflicts(paired_changes(parsed, keys)),
     }
-    return per_batch(parse_documents(stream, keys, legacy_other_unit), jobs, path, once, text=("lines",))
+    return per_batch(parse_documents(stream, keys, legacy_other_unit), jobs, path, once)
 
 
 def house_report(

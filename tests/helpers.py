@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from roomtrace import schema as S
 
-DAY = dt.datetime(2022, 7, 2)
+DAY = dt.datetime(2019, 3, 5)
 AREAS = ["armchair", "bathroom", "kitchen", "sleep"]
 
 COLUMNS = {

@@ -18,27 +18,29 @@ def text(spark, values):
 
 
 def test_well_formed_line(spark):
-    got = lines.parse_lines(text(spark, ["2022-07-02 08:00:00,dev,powerStatus,off,bedroom"])).collect()
-    assert [tuple(r) for r in got] == [(0, dt.datetime(2022, 7, 2, 8), "dev", "powerStatus", "off", "bedroom")]
+    got = lines.parse_lines(text(spark, ["2019-03-05 07:00:00,dev,powerStatus,off,bedroom"])).collect()
+    assert [tuple(r) for r in got] == [(0, dt.datetime(2019, 3, 5, 7), "dev", "powerStatus", "off", "bedroom")]
 
 
 def test_long_line_keeps_five_fields_and_first_line(spark):
-    got = lines.parse_lines(text(spark, ["2022-07-02 08:00:00,d,p,v,a,x,y", "2022-07-02 08:00:00,d,p,v,b\nmore,of,it"]))
+    got = lines.parse_lines(text(spark, ["2019-03-05 07:00:00,d,p,v,a,x,y", "2019-03-05 07:00:00,d,p,v,b\nmore,of,it"]))
     assert [r.area for r in got.orderBy("event_id").collect()] == ["a", "b"]
 
 
 def test_short_and_bad_lines_are_set_aside(spark):
-    df = text(spark, ["a,b,c", "", "no time,d,p,v,a", "2022-07-02 08:00:00,d,p,v,a"])
+    df = text(spark, ["a,b,c", "", "no time,d,p,v,a", "2019-03-05 07:00:00,d,p,v,a", None])
     assert {(r.event_id, r.reason) for r in lines.malformed_lines(df).collect()} == {
         (0, "short line"),
         (1, "short line"),
         (2, "bad time"),
+        (4, "short line"),
     }
-    assert [r.event_id for r in lines.parse_lines(df).collect()] == [3]
+    got = {(r.event_id, r.event_ts) for r in lines.parse_lines(df).collect()}
+    assert got == {(2, None), (3, dt.datetime(2019, 3, 5, 7))}
 
 
 def test_empty_fields_are_kept(spark):
-    got = lines.parse_lines(text(spark, ["2022-07-02 08:00:00,,p,,"])).first()
+    got = lines.parse_lines(text(spark, ["2019-03-05 07:00:00,,p,,"])).first()
     assert (got.id_device, got.value_property_device, got.area) == ("", "", "")
 
 
@@ -72,11 +74,11 @@ def test_csv_appends(spark, tmp_path):
 
 # --- behaviour documents --------------------------------------------------
 
-START = '<behavior startdate="01/07/2022-23:00:00" factor="1440">'
+START = '<behavior startdate="05/03/2019-17:00:00">'
 
 
 def doc(body, start=START):
-    return f'<?xml version="1.0" encoding="UTF-8" standalone="no" ?>\n{start}\n{body}\n</behavior>'
+    return f'<?xml version="1.0"?>\n{start}\n{body}\n</behavior>'
 
 
 def delay(value, unit):
@@ -109,22 +111,22 @@ def test_delays_add_up_from_the_start(spark):
     body = zone("d1", "bedroom") + zone("d2", "sleep") + delay(9, "h") + change("d1", value="false")
     body += "<!-- " + delay(5, "h") + " -->" + delay(2, "m") + change("d2", S.PRESENCE) + delay(0, "h") + change("d1", "x", "293.15")
     assert events(docs(spark, doc(body))) == [
-        (dt.datetime(2022, 7, 2, 8, 0), "d1", "powerStatus", "off", "bedroom"),
-        (dt.datetime(2022, 7, 2, 8, 2), "d2", S.PRESENCE, "on", "sleep"),
-        (dt.datetime(2022, 7, 2, 8, 2), "d1", "x", "293.15", "bedroom"),
+        (dt.datetime(2019, 3, 6, 2, 0), "d1", "powerStatus", "off", "bedroom"),
+        (dt.datetime(2019, 3, 6, 2, 2), "d2", S.PRESENCE, "on", "sleep"),
+        (dt.datetime(2019, 3, 6, 2, 2), "d1", "x", "293.15", "bedroom"),
     ]
 
 
 def test_pairing_is_by_position_in_the_whole_document(spark):
     body = zone("d", "a") + change("d", "p1") + change("d", "p2") + delay(1, "h") + delay(1, "h") + delay(1, "h")
     got = [(t, p) for t, _, p, _, _ in events(docs(spark, doc(body)))]
-    assert got == [(dt.datetime(2022, 7, 2, 0, 0), "p1"), (dt.datetime(2022, 7, 2, 1, 0), "p2")]
+    assert got == [(dt.datetime(2019, 3, 5, 18, 0), "p1"), (dt.datetime(2019, 3, 5, 19, 0), "p2")]
 
 
 def test_other_unit(spark):
     df = docs(spark, doc(zone("d", "a") + delay(5, "s") + change("d")))
-    assert events(df)[0][0] == dt.datetime(2022, 7, 1, 23, 0, 5)
-    assert events(df, legacy_other_unit=True)[0][0] == dt.datetime(2022, 7, 1, 23, 5, 5)
+    assert events(df)[0][0] == dt.datetime(2019, 3, 5, 17, 0, 5)
+    assert events(df, legacy_other_unit=True)[0][0] == dt.datetime(2019, 3, 5, 17, 5, 5)
 
 
 def test_fewer_delays_than_changes(spark):
@@ -140,24 +142,24 @@ def test_unusable_documents(spark):
         "<behavior><delay",
         doc(delay(1, "m"), start='<behavior startdate="2022-07-01">'),
         doc(delay("one", "m")),
-        doc("<group>" + delay(1, "m") + "</group>" + change("d")),
         doc(delay(1, "m")) + "and more",
         "<other/>",
+        doc("<group>" + delay(1, "m") + change("d")),
     )
     assert reasons(df) == {
         "f0": "not XML",
         "f1": "bad start date",
         "f2": "bad delay",
-        "f3": "nested elements",
-        "f4": "not XML",
-        "f5": "no behaviour",
+        "f3": "not XML",
+        "f4": "no behaviour",
+        "f5": "not XML",
     }
     assert events(df) == []
 
 
 def test_text_is_taken_as_it_is(spark):
     body = zone("d&amp;1", " hall ") + "<![CDATA[" + delay(5, "h") + "]]>" + delay(1, "m") + change("d&amp;1", "p", " on ")
-    assert events(docs(spark, doc(body))) == [(dt.datetime(2022, 7, 1, 23, 1), "d&1", "p", " on ", " hall ")]
+    assert events(docs(spark, doc(body))) == [(dt.datetime(2019, 3, 5, 17, 1), "d&1", "p", " on ", " hall ")]
 
 
 def test_marks_are_quoted_in_written_documents(spark):
@@ -168,7 +170,7 @@ def test_marks_are_quoted_in_written_documents(spark):
 
 def test_missing_attribute_is_empty_text_or_a_reason(spark):
     df = docs(spark, doc(zone("d", "a") + '<delay value="3"/>' + '<set-device-property deviceId="d" value="true"/>'))
-    assert events(df) == [(dt.datetime(2022, 7, 1, 23, 0, 3), "d", "", "on", "a")]
+    assert events(df) == [(dt.datetime(2019, 3, 5, 17, 0, 3), "d", "", "on", "a")]
     assert reasons(df, strict=True) == {"f0": "missing attribute"}
 
 
@@ -187,7 +189,45 @@ def test_document_files_pass_the_gate(spark, tmp_path):
     (tmp_path / "b.bhv.COMPLETED").write_text(body + "\n" + " " * 600)
     (tmp_path / "c.bhv").write_text(body)
     got = B.behaviour_events(B.read_documents(spark, str(tmp_path)), ["file"])
-    assert [r.file for r in got.collect()] == ["a.bhv"]
+    assert [r.file.rsplit("/", 1)[1] for r in got.collect()] == ["a.bhv"]
+
+
+def test_elements_at_any_depth(spark):
+    # Groups, groups in groups, an element with an end tag, and one in a comment; order is the document's.
+    body = (
+        "<day>" + zone("d&gt;1", "hall") + "<morning part='a>b'>" + delay(1, "m") + change("d&gt;1", "p1") + "</morning>"
+        "<!-- " + delay(9, "h") + " --></day>"
+        '<delay value="2" unit="m"></delay><rest>' + change("d&gt;1", "p2", " on ") + "</rest>"
+    )
+    assert events(docs(spark, doc(body))) == [
+        (dt.datetime(2019, 3, 5, 17, 1), "d>1", "p1", "on", "hall"),
+        (dt.datetime(2019, 3, 5, 17, 3), "d>1", "p2", " on ", "hall"),
+    ]
+
+
+@pytest.mark.parametrize("zone_name", ["UTC", "America/New_York"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone_name):
+    from roomtrace.operators.movement import movements
+    from roomtrace.operators.ordering import positions
+    from roomtrace.operators.visits import visits
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone_name)
+    try:
+        # 02:30 does not exist in New York on that day.
+        text_lines = ["2022-03-13 02:30:00,d,sensedPresence,on,toilet", "2022-03-13 03:30:00,d,sensedPresence,off,toilet"]
+        text_lines.append("2022-03-13 03:10:00,d,sensedPresence,on,sleep")
+        df = lines.parse_lines(text(spark, text_lines)).selectExpr("'h' AS house_id", "*")
+        assert [(str(r.entry_ts), str(r.exit_ts)) for r in visits(df).collect()] == [("2022-03-13 02:30:00", "2022-03-13 03:30:00")]
+        assert [(str(r.from_ts), r.to_area) for r in movements(df).collect()] == [("2022-03-13 02:30:00", "sleep")]
+        assert [r.n for r in positions(df, ["house_id"]).orderBy("event_id").collect()] == [1, 3, 2]
+        body = zone("d", "a") + delay(1, "h") + change("d") + delay(1, "h") + change("d")
+        got = events(docs(spark, doc(body, '<behavior startdate="13/03/2022-01:30:00">')))
+        assert [str(r[0]) for r in got] == ["2022-03-13 02:30:00", "2022-03-13 03:30:00"]
+        back = B.behaviour_events(documents.to_documents(df), documents.KEYS)
+        assert sorted(str(r.event_ts) for r in back.collect()) == sorted(x.split(",")[0] for x in text_lines)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 @pytest.mark.parametrize("limits", [None, Limits(7, 100)])
