@@ -14,7 +14,7 @@ long stream is reduced where it lies.  A conversation is one string in the end
 and must fit one row; nothing else of it has to.
 
 Defined cases: null text is empty, a null role is written as ``unknown``, an
-unknown kind counts as ``message``, a null kind too; events equal in ``seq`` go
+unknown kind counts as ``message``, a null kind too; a null ``seq`` comes first; events equal in ``seq`` go
 by kind and text; repeated ``message`` events overwrite each other; a null
 ``conv_id`` is a conversation of its own; an empty log gives no rows.  Columns
 beyond the named ones are ignored.
@@ -52,7 +52,8 @@ def fold(events: DataFrame) -> DataFrame:
     key = F.struct(F.col("conv_id"), F.col("turn"))
     kind = F.when(F.col("kind").isin("delta", "edit", "regenerate"), F.col("kind")).otherwise("message")
     log = events.select(
-        "conv_id", "turn", "seq", "role", kind.alias("kind"), F.coalesce("text", F.lit("")).alias("text")
+        "conv_id", "turn", F.coalesce("seq", F.lit(-(2**63))).alias("seq"), "role", kind.alias("kind"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
     # The last withdrawal of any earlier turn: few rows, one per turn that was ever regenerated.
