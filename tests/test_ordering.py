@@ -5,7 +5,7 @@ import pytest
 from helpers import random_rows, readings, table
 from roomtrace.operators.counts import presence_counts
 from roomtrace.operators.ordering import first_event, positions, running_presence, sorted_events
-from roomtrace.operators.splitting import Limits
+from roomtrace.operators.splitting import SLACK, Limits, Slices
 
 LIMITS = [None, Limits(40, 1000), Limits(5, 1000), Limits(2, 9)]
 CASES = [
@@ -80,3 +80,29 @@ def test_other_columns_are_kept(spark):
     full = random_rows(seed=17, n=80, houses=2, span=10)
     got = positions(table(spark, full), ["house_id"], limits=Limits(3, 100)).drop("n")
     assert sorted(map(tuple, got.collect())) == sorted(full)
+
+
+@pytest.mark.parametrize(
+    "time", ["pmod(xxhash64(id), 10000000)", "id * 1000", "pow(pmod(xxhash64(id), 1000), 3)", "if(id < 9000, 5, id)"]
+)
+def test_no_window_holds_much_more_than_the_limit(spark, time):
+    limit = 500
+    rows = spark.range(20_000).selectExpr("'k' AS key", f"CAST({time} AS bigint) AS us", "id AS event_id")
+    slices = Slices(rows, ["key"], Limits(limit, 1000), over=["event_id"])
+    placed = slices.of_all(rows)
+    # The parts of slices: crowded instants are cut by event id.
+    if slices.crowded:
+        found = slices.crowding(placed, {"_lo": "lo_event_id", "_step": "step_event_id"}, "left")
+        placed = found.selectExpr("*", "coalesce((event_id - _lo) div _step, 0) AS cut")
+    else:
+        placed = placed.selectExpr("*", "0 AS cut")
+    sizes = [r["count"] for r in placed.groupBy(*slices.cell, "cut").count().collect()]
+    assert max(sizes) <= SLACK * limit
+    # One row per part is what the window along the parts holds.
+    assert len(sizes) <= 8 * 20_000 / limit
+
+
+def test_more_groups_than_may_be_broadcast(spark):
+    full = random_rows(seed=15, n=600, houses=6, span=40)
+    got = {r.event_id: r.rn for r in sorted_events(table(spark, full), Limits(5, 2)).collect()}
+    assert got == brute_positions(full, lambda r: r[1], lambda r: (r[2], r[6], r[0]))
