@@ -363,7 +363,8 @@ def _source_side(rest: list[int], own: list[float], near: list[dict[int, float]]
 
 
 def features_of(blocks: list[Block]) -> np.ndarray:
-    has_main = any(b.node.main for b in blocks)
+    # An article among the comments, or in a sidebar, isn't the page's main part.
+    has_main = any(b.node.main and not b.node.outer and not b.node.outer_word for b in blocks)
     return np.array([block_features(b, has_main) for b in blocks])
 
 
@@ -401,7 +402,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page in texts(batch, "html"):
             found = blocks_of(page)
             # A page without main tags says nothing.
-            if any(b.node.main for b in found):
+            if any(b.node.main and not b.node.outer and not b.node.outer_word for b in found):
                 rows += [
                     (x, float(b.node.main and not b.node.outer and not b.node.outer_word))
                     for x, b in zip(features_of(found).tolist(), found)

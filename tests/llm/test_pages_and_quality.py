@@ -97,7 +97,7 @@ def test_tables_learn_steps_and_pairs():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = G.fit(x, y)
     assert {(0, 1)} <= {(a, b) for a, b, _ in model.pairs}
-    assert ((model.score(x) >= 0.5) == y).mean() > 0.95
+    assert ((model.score(x) >= 0.5) == y).mean() > 0.9
     z = (x[:, 2] > 0.3).astype(float)
     assert ((G.fit(x, z).score(x) >= 0.5) == z).mean() > 0.97
 
