@@ -352,13 +352,19 @@ def links(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     split = units.groupBy("unit").agg(parts.alias("parts"))
     own = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    keyed = units.select("unit", "node", "size", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("text_key"))
-    with_text = own.join(
-        keyed, (own.text_key == keyed.text_key) & own.doc_id.eqNullSafe(keyed.rep_id)
-    ).select("unit", "node", "size", "text")
+    keyed = units.join(split, "unit").select(
+        "unit",
+        "node",
+        "size",
+        "parts",
+        F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("block"),
+        F.col("rep.doc_id").alias("rep_id"),
+        F.col("rep.text_key").alias("text_key"),
+    )
+    # So few rows are brought to the texts; more meet them by shuffle.
+    few = F.broadcast(keyed) if units.count() <= FEW else keyed
     work = (
-        with_text.join(split, "unit")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        own.join(few, (own.text_key == few.text_key) & own.doc_id.eqNullSafe(few.rep_id))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select(
             "unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "text"
