@@ -84,27 +84,25 @@ def _bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _matches(words: Column, size: int, m: int, templates: dict[str, list[str]]) -> Column:
-    """Matches of templates of ``m`` shingles of ``size`` words."""
-    step = stride(m)
+def _matches(words: Column, size: int, classes: dict[int, dict[str, list[str]]]) -> Column:
+    """Matches of templates with shingles of ``size`` words, by their number of shingles."""
     last = F.size(words) - size + 1
     hashes = F.transform(
         F.slice(words, 1, F.greatest(last, F.lit(0))),
         lambda w, i: F.xxhash64(F.concat_ws(" ", w, *(F.get(words, i + k) for k in range(1, size)))),
     )
 
-    def scan(hashes: Column) -> Column:
-        minima = F.array(*(permuted(hashes, b) for b in range(BANDS)))
+    def of_class(hashes: Column, minima: Column, m: int, templates: dict[str, list[str]]) -> Column:
+        step = stride(m)
         places = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)), F.lit(step))
 
-        def windows(minima: Column) -> Column:
-            return F.transform(
-                places,
-                lambda p: F.struct(
-                    p.alias("at"),
-                    F.array(*(F.xxhash64(F.array_min(F.slice(minima[b], p + 1, m)), F.lit(b)) for b in range(BANDS))).alias("keys"),
-                ),
-            )
+        windows = F.transform(
+            places,
+            lambda p: F.struct(
+                p.alias("at"),
+                F.array(*(F.xxhash64(F.array_min(F.slice(minima[b], p + 1, m)), F.lit(b)) for b in range(BANDS))).alias("keys"),
+            ),
+        )
 
         def of_template(name: str, shingles: list[str], found: Column) -> Column:
             own = F.array(*(F.xxhash64(F.lit(s)) for s in dict.fromkeys(shingles)))
@@ -129,10 +127,11 @@ def _matches(words: Column, size: int, m: int, templates: dict[str, list[str]])
             )
             return F.filter(measured, lambda x: x["contained"] >= CONTAINED)
 
-        found = _bound(
-            minima,
-            lambda mins: _bound(windows(mins), lambda found: F.concat(*(of_template(n, s, found) for n, s in templates.items()))),
-        )
+        return _bound(windows, lambda found: F.concat(*(of_template(n, s, found) for n, s in templates.items())))
+
+    def scan(hashes: Column) -> Column:
+        minima = F.array(*(permuted(hashes, b) for b in range(BANDS)))
+        found = _bound(minima, lambda mins: F.concat(*(of_class(hashes, mins, m, own) for m, own in classes.items())))
         return F.when(F.size(hashes) > 0, found)
 
     return _bound(hashes, scan)
@@ -143,24 +142,29 @@ _MATCHES = "array<struct<license:string,start:int,contained:double>>"
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
     """``doc_id, matches``: per match the license, the word its window starts at, and how much of the template is there."""
-    classes: dict[tuple[int, int], dict[str, list[str]]] = {}
+    sizes: dict[int, dict[int, dict[str, list[str]]]] = {}
     for name, template in templates.items():
         if shingles := shingles_of(template):
             size = len(shingles[0].split(" "))
-            classes.setdefault((size, len(shingles)), {})[name] = shingles
+            sizes.setdefault(size, {}).setdefault(len(shingles), {})[name] = shingles
     none = F.array().cast(_MATCHES)
-    if not classes:
+    if not sizes:
         return docs.select("doc_id", none.alias("matches"))
     low = F.lower(text_or_empty())
-    probe = F.lit(False)
-    for word in sorted({w for t in templates.values() for w in probes(t)}):
-        probe = probe | low.contains(word)
+    wanted = sorted({w for t in templates.values() for w in probes(t)})
+
+    def probed(low: Column) -> Column:
+        found = F.lit(False)
+        for word in wanted:
+            found = found | low.contains(word)
+        return found
+
     words = F.regexp_extract_all(low, F.lit(WORD_CLASS), F.lit(0))
     found = _bound(
         words,
-        lambda w: F.concat(*(F.coalesce(_matches(w, size, m, own), none) for (size, m), own in classes.items())),
+        lambda w: F.concat(*(F.coalesce(_matches(w, size, classes), none) for size, classes in sizes.items())),
     )
-    return docs.select("doc_id", F.when(probe, found).otherwise(none).cast(_MATCHES).alias("matches"))
+    return docs.select("doc_id", F.when(_bound(low, probed), found).otherwise(none).cast(_MATCHES).alias("matches"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
