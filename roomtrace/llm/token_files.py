@@ -17,8 +17,8 @@ Documents are dealt out in ranges of (doc_id, hash of text), so rows that share
 id are spread too.  Only ``parts`` and ``ranks`` ever come to the driver: one row
 per file and one per vocabulary entry.
 
-Texts are split at blanks and line ends, where this tokenizer always splits, and
-distinct stretches are given to the tokenizers library once per worker (bounded,
+Texts are split at blanks, line ends and single marks, where this tokenizer always
+splits, and distinct stretches are given to the tokenizers library once per worker (bounded,
 see ``WordTable``).
 
 Defined cases: null text is empty and holds the end id alone; a null ``doc_id``
@@ -86,47 +86,51 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 class Words:
     """Ids of distinct stretches of text between blanks.
 
-    A Latin-1 word of letters, maybe with closing marks, goes to the library's model
-    directly, in lower case and byte characters, which is what the library's own
-    normalizing and splitting make of it.  All else goes through the whole library.
+    A Latin-1 word goes to the library's model directly, in lower case and byte
+    characters, which is what the library's own normalizing and splitting make of
+    it.  All else goes through the whole library.
     """
 
-    WORD = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
-    MOST = 200_000
-
     def __init__(self, coder) -> None:
         self.coder, self.model = coder, coder.model
-        self.cores: dict[str, list[int]] = {}
-        self.marks: dict[str, list[int]] = {"": []}
         self.bytes = {b: c for c, b in byte_characters().items()}
 
-    def library(self, new: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.coder.encode_batch_fast(new, add_special_tokens=False)]
-
     def __call__(self, new: list[str]) -> list[list[int]]:
-        out, others = [], []
-        cores, marks, tokenize, word = self.cores, self.marks, self.model.tokenize, self.WORD
-        for i, stretch in enumerate(new):
-            if (found := word.fullmatch(stretch)) is None:
+        out, others, tokenize = [], [], self.model.tokenize
+        for i, word in enumerate(new):
+            if not word.isalpha():
+                coded = None
+            elif word.isascii():
+                coded = word.lower()
+            else:
+                coded = word.lower().encode().decode("latin-1").translate(self.bytes) if max(word) <= "\xff" else None
+            if coded is None:
                 others.append(i)
                 out.append([])
-                continue
-            core, tail = found[1].lower(), found[2]
-            if (ids := cores.get(core)) is None:
-                if len(cores) >= self.MOST:
-                    cores.clear()
-                coded = core if core.isascii() else core.encode().decode("latin-1").translate(self.bytes)
-                ids = cores[core] = [t.id for t in tokenize(coded)]
-            if tail not in marks:
-                if len(marks) >= self.MOST:
-                    marks.clear()
-                marks[tail] = self.library([tail])[0] if tail else []
-            out.append(ids + marks[tail] if tail else ids)
-        for i, ids in zip(others, self.library([new[i] for i in others])):
-            out[i] = ids
+            else:
+                out.append([t.id for t in tokenize(coded)])
+        for i, e in zip(others, self.coder.encode_batch_fast([new[i] for i in others], add_special_tokens=False)):
+            out[i] = e.ids
         return out
 
 
+#: A full stop or comma before a blank that is not the only mark there.
+_RUN = re.compile("(?<![a-z0-9\u00e0-\u00f6\u00f8-\u00ff\u00df])[.,] ")
+
+
+def stretches(text: str) -> list[str]:
+    """The text in parts that the tokenizer treats one by one: cut at blanks, in Latin-1 texts also before a single mark."""
+    text = text.replace("\n", " ")
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split(" ")
+    text = text.lower() + " "
+    if _RUN.search(text) is None:
+        text = text.replace(". ", " . ").replace(", ", " , ")
+    return text.split(" ")
+
+
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -150,7 +154,7 @@ def token_ids(held: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     ends = []
     for text in held:
         # A written-out special token may stand anywhere, so such a text is not split.
-        words += [text] if any(map(text.__contains__, special)) else text.replace("\n", " ").split(" ")
+        words += [text] if any(map(text.__contains__, special)) else stretches(text)
         ends.append(len(words))
     ids, lengths = table.encode(words)
     upto = np.concatenate([[0], np.cumsum(lengths)])[np.array([0, *ends], np.int64)]

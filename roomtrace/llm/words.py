@@ -4,40 +4,46 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 
 
 class WordTable:
-    """Encodings of the distinct words seen so far.
+    """Encodings of distinct words.
 
     ``encode_new`` gives the ids of new words, in order.  The table holds at most
-    about ``most`` words and is then begun anew: it saves work and never changes a
-    result.
+    about ``most`` words; when it is full, those that were hardly used make room.
+    It saves work and never changes a result.
     """
 
     def __init__(self, encode_new: Callable[[list], list], most: int = 400_000) -> None:
         self.encode_new, self.most = encode_new, most
-        self._clear()
+        self._fill([], np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64))
 
-    def _clear(self) -> None:
-        self.at: dict = {}
-        self.ids = array("i")
-        self.ends = array("q", [0])
+    def _fill(self, words: list, ids: np.ndarray, lengths: np.ndarray, uses: np.ndarray) -> None:
+        self.at: dict = dict(zip(words, range(len(words))))
+        self.ids = array("i", ids.astype(np.int32).tobytes())
+        self.ends = array("q", np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64).tobytes())
+        self.uses = uses
 
     def encode(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words, one after another, and the number of ids of each word."""
+        index = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(index < 0).tolist()
+        if missing:
+            new = {words[i] for i in missing}
+            if self.at and len(self.at) + len(new) > self.most:
+                self._make_room(self.most // 2)
+                return self.encode(words)
+            self._add(list(new))
+            index[missing] = [self.at[words[i]] for i in missing]
         if not words:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        distinct = set(words)
-        new = distinct.difference(self.at)
-        if new:
-            if self.at and len(self.at) + len(new) > self.most:
-                self._clear()
-                new = distinct
-            self._add(sorted(new))
-        index = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        uses = np.bincount(index, minlength=len(self.at))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         ends = np.frombuffer(self.ends, np.int64)
         starts = ends[index]
         lengths = ends[index + 1] - starts
@@ -51,6 +57,16 @@ class WordTable:
             end += len(ids)
             self.ends.append(end)
 
+    def _make_room(self, most: int) -> None:
+        """Keeps the words used more than once, at most ``most`` of them, and halves their counts."""
+        keep = np.flatnonzero(self.uses > 1)
+        # A second call in a row empties the table.
+        keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:most]]) if len(self.at) > most else keep[:0]
+        words, ends = list(self.at), np.array(self.ends, np.int64)
+        lengths = np.diff(ends)[keep]
+        ids = gather(np.array(self.ids, np.int32), ends[keep], lengths)
+        self._fill([words[i] for i in keep.tolist()], ids, lengths, self.uses[keep] // 2)
+
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices of ``values`` from ``starts``, one after another."""
