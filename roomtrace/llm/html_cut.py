@@ -19,7 +19,8 @@ flow is computed, which changes no cut and leaves little on most pages; maximum
 runs on the rest, without recursion, so long pages do no harm.
 
 Defined cases: null html is empty and gives empty text; a page of unmarked text is
-one block; unclosed and unknown tags are allowed; repeated rows give equal texts; an
+one block; unclosed and unknown tags are allowed (a head without its end tag ends at the first
+element or text that can't be in it); repeated rows give equal texts; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -47,7 +48,7 @@ DROPPED = frozenset(
     " option textarea input label fieldset datalist output progress meter dialog title".split()
 )
 RAW = frozenset("script style textarea title".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer"
     " form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table"
@@ -61,6 +62,8 @@ ENDED_BY = {
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
 }
+#: What may stand in a head; any other element or text ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 MAIN_TAGS = frozenset(["article", "main"])
 OUTER_TAGS = frozenset(["nav", "header", "footer", "aside", "menu"])
 MAIN_WORDS = frozenset("article main content post entry story text body".split())
@@ -161,6 +164,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def say(raw: str) -> None:
         nonlocal block
+        if stack[-1].tag == "head" and raw.strip(" \t\n\f\r"):
+            close(len(stack) - 1)
         if dropped or not raw:
             return
         node = stack[-1]
@@ -206,6 +211,14 @@ def blocks_of(page: str) -> list[Block]:
             if tag in BLOCKS:
                 block = None
             continue
+        if tag == "body":
+            # Whatever is open in the head.
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag == "head":
+                    close(k)
+                    break
+        elif stack[-1].tag == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag in ENDS_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":

@@ -63,6 +63,21 @@ def test_odd_pages(spark):
     assert H.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>x</title><body>", "<html><head><title>x</title>", "<head><title>x</title></head>", "<title>x</title>",
+    "<html><head><title>x</title></head>", "<!-- c --><head>\n<meta charset=utf-8><link rel=x><style>p{}</style><script>a</script>\n<body>",
+    "<head><noscript><style>p{}</style></noscript><title>x</title><body class=x>", "<head><noscript><link rel=x><body>", "<head><bgsound src=x><title>x</title>",
+])
+@pytest.mark.parametrize("inner", ["<article><h1>Top</h1><p>Some words, here.</p></article>", "<img src=x><main>Top<p>Some words, here.</main>"])
+def test_head_without_end(start, inner):
+    assert H.main_text(start + inner, START) == "Top Some words, here."
+    assert H.main_text(start + inner + "</body></html>", START) == "Top Some words, here."
+
+
+def test_text_ends_head():
+    assert H.main_text("<html><head><title>x</title>\n Some words, and more.", START) == "Some words, and more."
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.data())
 def test_least_cut(data):
