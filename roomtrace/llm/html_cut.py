@@ -96,7 +96,9 @@ START = {
 #: Smoothness: capacity between neighbours at distance 1 in the tree, and between blocks of one parent.
 NEAR, SIBLINGS = 0.8, 0.4
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+#: A name and its value, if any.  Quotes hold a value together only at its start; elsewhere they are characters like others.
+_ATTRIBUTE = r"=?+[^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+"
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|(?=[^\s/>]){_ATTRIBUTE})*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")

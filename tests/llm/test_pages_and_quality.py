@@ -78,6 +78,22 @@ def test_text_ends_head():
     assert H.main_text("<html><head><title>x</title>\n Some words, and more.", START) == "Some words, and more."
 
 
+@pytest.mark.parametrize("tag", [
+    '<a href="x"">', "<p title=don't>", "<p title=5\">", "<p ' class=x>", '<p "a">', "<p title = don't class='x'>", '<p title="a"\'>', "<a href=/x?q=\"a>",
+    "<p =\" x>", "<p title=>", "<p/title='a>b'/>", '<p title\n=\n"a>b" id=\'c>"d\'>', "<p title=a/b'c/>", "<p title='it is \"'>",
+])
+def test_quotes_in_tags(tag):
+    rest = """Some words, here.</p><p>It's the "end", of it.</p><div class="ad">Buy now! It's good.</div><p>Last 'words', too.</p>"""
+    for end in ("</article>", ""):
+        got = H.main_text(f"<article><p>First words, here.</p>{tag}{rest}{end}", START)
+        assert got == """First words, here. Some words, here. It's the "end", of it. Last 'words', too."""
+
+
+def test_values_of_odd_tags():
+    assert H.main_text("<article><p>Some words, here.</p><div title=don't class=ad>Buy now! It's good.</div></article>", START) == "Some words, here."
+    assert H.main_text("<p>" + "<a " * 50_000 + "b " * 50_000 + "=" * 50_000 + " " * 50_000, START) == ""
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.data())
 def test_least_cut(data):
