@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -54,7 +54,7 @@ BLOCKS = frozenset(
     " form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table"
     " tbody td tfoot th thead tr ul br title".split()
 )
-#: Elements that close an open paragraph.
+#: Elements that close an open paragraph; it lies right in one of them.
 ENDS_P = BLOCKS - {"br", "td", "th", "tr", "caption", "title"}
 #: An element closed by the start of another one.
 ENDED_BY = {
@@ -62,6 +62,8 @@ ENDED_BY = {
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
 }
+#: Elements beyond which no element is closed by the start of another one.
+LISTS = ("ul", "ol", "dl", "table", "menu")
 #: What may stand in a head; any other element or text ends it.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 MAIN_TAGS = frozenset(["article", "main"])
@@ -104,10 +106,6 @@ _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
-#: Elements deeper than this count as their ancestor; their text stays.
-MOST_DEPTH = 2_000
-
-
 @dataclass(slots=True)
 class Node:
     """An open element: what lies around a text in it."""
@@ -121,11 +119,15 @@ class Node:
     outer_word: bool = False
     comment: bool = False
     link: bool = False
+    #: The nearest element that splits blocks, maybe itself.
+    holder: Node | None = None
 
 
 @dataclass(slots=True)
 class Block:
     node: Node
+    #: Depth of the deepest element that has been open ever since the block before.
+    shared: int = 0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     chars: int = 0
@@ -133,7 +135,9 @@ class Block:
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
-    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link)
+    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link, parent.holder)
+    if tag in BLOCKS:
+        node.holder = node
     if tag in MAIN_TAGS:
         node.main = True
         # What the layout around an article is called says nothing about it.
@@ -160,23 +164,29 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, white space inside made single blanks."""
     root = Node("", 0, None)
+    root.holder = root
     stack, out = [root], []
+    # Places in the stack by tag, and of those that a paragraph can lie right in, so that no search goes through the stack.
+    places: dict[str, list[int]] = defaultdict(list)
+    scopes: list[int] = []
     block: Block | None = None
-    at, dropped = 0, 0
+    at, dropped, shared = 0, 0, 0
+
+    def last(tag: str) -> int:
+        """The place of the innermost open element of a tag, or 0."""
+        return places[tag][-1] if places.get(tag) else 0
 
     def say(raw: str) -> None:
-        nonlocal block
+        nonlocal block, shared
         if stack[-1].tag == "head" and raw.strip(" \t\n\f\r"):
             close(len(stack) - 1)
         if dropped or not raw:
             return
         node = stack[-1]
         if block is None:
-            holder = node
-            while holder.parent is not None and holder.tag not in BLOCKS:
-                holder = holder.parent
-            block = Block(holder)
+            block = Block(node.holder, shared)
             out.append(block)
+            shared = len(stack) - 1
         text = entities.unescape(raw) if "&" in raw else raw
         block.parts.append(text)
         block.chars += len(text)
@@ -184,13 +194,17 @@ def blocks_of(page: str) -> list[Block]:
             block.linked += len(text)
 
     def close(to: int) -> None:
-        nonlocal dropped, block
-        for node in stack[to:]:
+        nonlocal dropped, block, shared
+        for node in reversed(stack[to:]):
+            places[node.tag].pop()
+            if node.tag in ENDS_P:
+                scopes.pop()
             if node.tag in DROPPED:
                 dropped -= 1
             if node.tag in BLOCKS:
                 block = None
         del stack[to:]
+        shared = min(shared, to - 1)
 
     while True:
         found = _TAG.search(page, at)
@@ -206,41 +220,30 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = found[2].lower()
         if found[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if k := last(tag):
+                close(k)
             if tag in BLOCKS:
                 block = None
             continue
         if tag == "body":
             # Whatever is open in the head.
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "head":
-                    close(k)
-                    break
+            if k := last("head"):
+                close(k)
         elif stack[-1].tag == "head" and tag not in IN_HEAD:
             close(len(stack) - 1)
-        if tag in ENDS_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in ENDS_P:
-                    break
+        if tag in ENDS_P and scopes and stack[scopes[-1]].tag == "p":
+            close(scopes[-1])
         if tag in ENDED_BY:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ENDED_BY and tag in ENDED_BY[stack[k].tag]:
-                    close(k)
-                    break
-                if stack[k].tag in ("ul", "ol", "dl", "table", "menu"):
-                    break
+            k = max(last(t) for t, by in ENDED_BY.items() if tag in by)
+            if k > max(map(last, LISTS)):
+                close(k)
         if tag in BLOCKS:
             block = None
         if tag in VOID:
             continue
-        if len(stack) > MOST_DEPTH:
-            continue
+        places[tag].append(len(stack))
+        if tag in ENDS_P:
+            scopes.append(len(stack))
         stack.append(_open(tag, found[3], stack[-1]))
         if tag in DROPPED:
             dropped += 1
@@ -250,9 +253,15 @@ def blocks_of(page: str) -> list[Block]:
                 say(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
             close(len(stack) - 1)
+    kept, shared = [], 0
     for b in out:
         b.text = _SPACE.sub(" ", "".join(b.parts)).strip()
-    return [b for b in out if b.text]
+        shared = min(shared, b.shared)
+        if b.text:
+            b.shared = shared
+            kept.append(b)
+            shared = b.node.depth
+    return kept
 
 
 def block_features(b: Block, page_has_main: bool) -> list[float]:
@@ -275,16 +284,9 @@ def block_features(b: Block, page_has_main: bool) -> list[float]:
 # --- the cut -----------------------------------------------------------------------
 
 
-def tree_distance(a: Node, b: Node) -> int:
-    """Steps between two elements over their last common ancestor."""
-    steps = 0
-    while a is not b:
-        if a.depth >= b.depth:
-            a = a.parent
-        else:
-            b = b.parent
-        steps += 1
-    return steps
+def tree_distance(a: Block, b: Block) -> int:
+    """Steps between the elements of a block and the next one over their last common ancestor."""
+    return a.node.depth + b.node.depth - 2 * min(a.node.depth, b.node.depth, b.shared)
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -293,7 +295,7 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            found[i - 1, i] = NEAR / (1 + tree_distance(blocks[i - 1].node, b.node))
+            found[i - 1, i] = NEAR / (1 + tree_distance(blocks[i - 1], b))
         parent = id(b.node.parent)
         if parent in last:
             key = last[parent], i

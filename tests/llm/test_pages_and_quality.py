@@ -94,6 +94,34 @@ def test_values_of_odd_tags():
     assert H.main_text("<p>" + "<a " * 50_000 + "b " * 50_000 + "=" * 50_000 + " " * 50_000, START) == ""
 
 
+@pytest.mark.parametrize("opened", ["<div>", "<b>", "<div><b>"])
+def test_deep_pages_are_read_like_others(opened):
+    deep = opened * 60_000
+    inner = (PAGE % ("<article>", "</article>")).partition("<body")[2].partition(">")[2]
+    assert H.main_text(deep + inner, START) == WANT
+    # End tags of deep elements close nothing further out.
+    page = "<div class=ad>" + deep + "<div>in</div>" * 3 + "<span></div></x>Buy. It is good.</span></div><article><p>Some words, here.</p></article>"
+    assert H.main_text(page, START) == "Some words, here."
+
+
+def test_many_stray_tags_in_deep_pages():
+    deep = "<b>" * 60_000 + "</x><br><li>a<tr><p>" * 60_000
+    assert len(H.blocks_of(deep)) == 60_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("<div> </div> <p> </p> <b> </b> <ul> <li> </ul> <table> <tr> <td> </table> <br> <form> </form> <article> </article> a b".split() + [" "]), max_size=40))
+def test_distance_is_that_of_a_walk(parts):
+    def above(node):
+        return [node, *above(node.parent)] if node else []
+
+    blocks = H.blocks_of("".join(parts))
+    for a, b in zip(blocks, blocks[1:]):
+        up, other = above(a.node), above(b.node)
+        common = next(i for i, n in enumerate(up) if any(n is m for m in other))
+        assert H.tree_distance(a, b) == common + next(i for i, n in enumerate(other) if n is up[common])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.data())
 def test_least_cut(data):
