@@ -1,7 +1,8 @@
 """HTML extraction by minimum cut.
 
-A page becomes a sequence of text blocks, split at block tags.  Forms, scripts,
-styles, templates and comments in markup hold no text.  A classifier gives every
+A page becomes a sequence of text blocks, split at block tags.  Scripts,
+styles, templates, fields and comments in markup hold no text, and forms neither,
+unless they frame the page (``in_forms``).  A classifier gives every
 block the log odds of being main text, which become capacities to the source
 (content) or the sink (boilerplate).  Blocks next to each other are tied by
 smoothness edges, tighter the nearer they are in the tree, and so are the blocks of
@@ -44,8 +45,8 @@ FIT_PAGES = 1_000
 
 #: HTML's elements by their role.
 DROPPED = frozenset(
-    "script style noscript template svg math canvas iframe object embed audio video map head form button select"
-    " option textarea input label fieldset datalist output progress meter dialog title".split()
+    "script style template svg canvas iframe embed audio video head button select"
+    " option textarea input datalist output progress meter dialog title annotation annotation-xml".split()
 )
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
@@ -95,6 +96,9 @@ START = {
     "heading": 0.3,
     "paragraph": 0.5,
 }
+#: Words from which text in a form is running text, also outside of paragraphs.
+RUNNING = 10
+PARAGRAPHS = ("p", "blockquote", "pre")
 #: Smoothness: capacity between neighbours at distance 1 in the tree, and between blocks of one parent.
 NEAR, SIBLINGS = 0.8, 0.4
 
@@ -121,6 +125,11 @@ class Node:
     link: bool = False
     #: The nearest element that splits blocks, maybe itself.
     holder: Node | None = None
+    #: The innermost form, and whether an article or main element lies between.
+    form: Node | None = None
+    framed: bool = False
+    #: Its text is left out, whatever else it is.
+    dropped: bool = False
 
 
 @dataclass(slots=True)
@@ -135,16 +144,20 @@ class Block:
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
-    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link, parent.holder)
+    node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link, parent.holder, parent.form, parent.framed)
     if tag in BLOCKS:
         node.holder = node
     if tag in MAIN_TAGS:
-        node.main = True
+        node.main = node.framed = True
         # What the layout around an article is called says nothing about it.
         node.outer_word = node.comment
     # A header inside an article is its heading, not the page's.
     elif tag in OUTER_TAGS and not (tag == "header" and parent.main):
         node.outer = True
+    # In an article it stands for what scripts would show, elsewhere it asks for scripts.
+    elif tag == "noscript" and not parent.main:
+        node.outer = True
+    node.dropped = tag in DROPPED or (tag == "label" and parent.form is not None and not parent.framed)
     if tag == "a":
         node.link = True
     if attributes:
@@ -153,14 +166,51 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
             words = _WORDS.findall(value)
             if name.lower() == "role":
                 node.outer |= any(w in OUTER_ROLES for w in words)
-                node.main |= "main" in words or "article" in words
+                if "main" in words or "article" in words:
+                    node.main = node.framed = True
             elif tag not in ("body", "html"):
                 node.comment |= any(w in COMMENT_WORDS for w in words)
                 node.outer_word |= any(w in OUTER_WORDS for w in words)
                 node.main_word |= any(w in MAIN_WORDS for w in words)
+    if tag == "form":
+        node.form, node.framed = node, False
     return node
 
 
+def in_forms(blocks: list[Block]) -> list[bool]:
+    """Whether each block belongs to a form that doesn't frame the page.
+
+    A form frames it that holds an article or main element, or at least as much
+    running text as there is text outside of it; its text is judged like any other.
+    """
+    # Each form with its text, how much of that is running, and whether it has an article or main element.
+    forms: dict[int, list] = {}
+    total = 0
+    for b in blocks:
+        node, form = b.node, b.node.form
+        while form is not None and id(form) not in forms:
+            forms[id(form)] = [form, 0, 0, False]
+            form = form.parent.form
+        if node.outer or node.outer_word or 2 * b.linked >= b.chars:
+            continue
+        total += len(b.text)
+        if node.form is not None:
+            found = forms[id(node.form)]
+            found[1] += len(b.text)
+            found[2] += len(b.text) if node.tag in PARAGRAPHS or b.text.count(" ") + 1 >= RUNNING else 0
+            found[3] |= node.framed and b.text != ""
+    outer_first = sorted(forms.values(), key=lambda f: f[0].depth)
+    for found in reversed(outer_first):
+        if (around := found[0].parent.form) is not None:
+            for k in (1, 2, 3):
+                forms[id(around)][k] += found[k]
+    frames: dict[int, bool] = {}
+    for form, size, running, framed in outer_first:
+        around = form.parent.form
+        frames[id(form)] = bool(framed or 0 < running >= total - size) and (around is None or frames[id(around)])
+    return [b.node.form is not None and not frames[id(b.node.form)] for b in blocks]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, white space inside made single blanks."""
     root = Node("", 0, None)
@@ -199,8 +249,7 @@ def blocks_of(page: str) -> list[Block]:
             places[node.tag].pop()
             if node.tag in ENDS_P:
                 scopes.pop()
-            if node.tag in DROPPED:
-                dropped -= 1
+            dropped -= node.dropped
             if node.tag in BLOCKS:
                 block = None
         del stack[to:]
@@ -245,19 +294,19 @@ def blocks_of(page: str) -> list[Block]:
         if tag in ENDS_P:
             scopes.append(len(stack))
         stack.append(_open(tag, found[3], stack[-1]))
-        if tag in DROPPED:
-            dropped += 1
+        dropped += stack[-1].dropped
         if tag in RAW:
             end = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
             if tag not in DROPPED:
                 say(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
             close(len(stack) - 1)
-    kept, shared = [], 0
     for b in out:
         b.text = _SPACE.sub(" ", "".join(b.parts)).strip()
+    kept, shared = [], 0
+    for b, left_out in zip(out, in_forms(out)):
         shared = min(shared, b.shared)
-        if b.text:
+        if b.text and not left_out:
             b.shared = shared
             kept.append(b)
             shared = b.node.depth
@@ -277,7 +326,7 @@ def block_features(b: Block, page_has_main: bool) -> list[float]:
         np.log1p(words),
         float(any(c in b.text for c in ".!?;:")),
         float(node.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
-        float(node.tag in ("p", "blockquote", "pre")),
+        float(node.tag in PARAGRAPHS),
     ]
 
 

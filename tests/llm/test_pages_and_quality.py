@@ -122,6 +122,30 @@ def test_distance_is_that_of_a_walk(parts):
         assert H.tree_distance(a, b) == common + next(i for i, n in enumerate(other) if n is up[common])
 
 
+@pytest.mark.parametrize("around", [
+    ("<article>", "</article>"), ('<div id="main-content">', "</div>"), ("<div class='x'>", "</div>"), ("<main>", "</main>"), ("<form><article>", "</article></form>"),
+])
+def test_forms_around_pages(around):
+    page = (PAGE % around).replace('<body class="post">', '<body class="post"><form id="aspnetForm"><input type=hidden><label>Find</label>')
+    page = page.replace("<form>Name <input> Submit</form>", "<select><option>One.</select><button>Go. Now.</button>").replace("</body>", "</form></body>")
+    assert H.main_text(page, START) == WANT
+
+
+def test_forms_in_pages():
+    form = "<form><h4>Letter</h4><p>Subscribe to our letter. It's free.</p><fieldset><label>Name: <input></label></fieldset></form>"
+    for inner in ("<p>Some words, here, and more of them.</p>%s<p>Last words, too.</p>", "Some words, here, and more of them.%s<div>Last words, too.</div>"):
+        for around in ("<article>%s</article>", "<div>%s</div>", "<form><main>%s</main></form>", "<form><div>%s</div></form>"):
+            got = H.main_text(around % (inner % form), START)
+            assert got == "Some words, here, and more of them. Last words, too."
+    assert H.main_text("<form>Name <input> <p><label>Subscribe. Now.</label></p></form>", START) == ""
+
+
+@pytest.mark.parametrize("tag", ["math", "noscript", "object", "label", "fieldset", "map"])
+def test_other_elements_of_articles(tag):
+    assert H.main_text(f"<article><p>Some words, <{tag}>held</{tag}> here.</p></article>", START).split() == "Some words, held here.".split()
+    assert H.main_text("<noscript>Please turn on scripts. Now.</noscript><article><p>Some words.</p></article>", START) == "Some words."
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.data())
 def test_least_cut(data):
