@@ -8,9 +8,9 @@ Then the pairs of features that would still gain most get a two-way table each,
 learned the same way.  A score is the sigmoid of a sum of table entries, looked
 up for whole batches at once.
 
-The model is fitted on at most ``FIT_ROWS`` labelled rows, half of them per
-label where there are enough, those with the smallest hashes of ``doc_id``;
-weights restore the shares of the labels.  Documents with ``held_out``
+The model is fitted on at most ``FIT_ROWS`` labelled ids, half of them per
+label where there are enough, those with the smallest hashes of ``doc_id``; a
+repeated id counts once, with the text of the smallest hash; weights restore the shares of the labels.  Documents with ``held_out``
 (crc32 of the id as text, modulo 3, is 1) are never learned from.  Every document
 is scored.
 
@@ -212,7 +212,7 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """A model from the labelled rows of ``docs`` that are not held out; at most ``rows`` of them come to the driver."""
+    """A model from the labelled ids of ``docs`` that are not held out, each with one of its texts; at most ``rows`` of them come to the driver."""
     known = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy("doc_id")
@@ -232,7 +232,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         return Model(0.0)
     sample = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
     # At most ``rows`` ids and labels.
-    picked = docs.join(F.broadcast(sample), "doc_id").select("label", "text")
+    joined = docs.join(F.broadcast(sample), "doc_id")
+    # Of a repeated id the text with the least hash, so that it counts once.
+    one_each = joined.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    picked = one_each.select("label", "least.text")
     found = for_python(picked).mapInArrow(_features_of, "label int, x array<double>").toArrow()
     if not found.num_rows:
         return Model(0.0)

@@ -204,3 +204,22 @@ def test_learned_rows_only(spark):
     labels = spark.createDataFrame([(i, 1 - q if i in out else q) for i, _, q in rows], "doc_id bigint, quality int")
     got = {r.doc_id: r.p for r in G.with_score(docs, G.train(docs, labels), "p").collect()}
     assert all((got[i] >= 0.5) == (q == 1) for i, _, q in rows)
+
+
+def test_repeated_id_counts_once(spark, monkeypatch):
+    fine, junk = "fine words of a sentence, it goes on. " * 3, "### $$$ %%% &&&" * 5
+    rows = [(i, (fine, junk)[i % 2], i % 2) for i in range(60)]
+    often = next(i for i, _, q in rows if q == 0 and zlib.crc32(str(i).encode()) % 3 != 1)
+    labels = spark.createDataFrame([(i, 1 - q) for i, _, q in rows], "doc_id bigint, quality int")
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    # A third of all rows has one id: copies, other texts and nulls.
+    more = once.unionByName(spark.createDataFrame([(often, t) for t in [fine, junk, None] * 10], "doc_id bigint, text string"))
+    seen = []
+    monkeypatch.setattr(G, "fit", lambda x, y, weight=None: seen.append((x.tolist(), y.tolist(), weight.tolist())))
+    for docs in (once, more, more.repartition(5)):
+        G.train(docs, labels)
+    ids = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, *_ in rows)
+    assert [len(y) for _, y, _ in seen] == [ids] * 3 and seen[1] == seen[2]
+    assert seen[0][1:] == seen[1][1:]
+    G.train(more, labels, rows=10)
+    assert len(seen[3][1]) == 10
