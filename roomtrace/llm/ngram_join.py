@@ -1,13 +1,14 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash LSH with prefixes of one length, then exact verification.
 
 Documents are sets of word shingles (five words; a shorter text is one shingle).
 Documents with equal sets are one *node*.
 
 1. Every node has a signature of ``TREES * HEIGHT`` min-hashes (one permutation,
-   densified).  Each tree of the forest is the sorted prefix trie of one stretch
-   of ``HEIGHT`` of them.  Matched prefixes are shortened from ``HEIGHT`` until the
-   chance that two nodes at the threshold share one in some tree reaches
-   ``RECALL`` (``depth``).  Nodes under one prefix are a bucket.
+   densified), in ``TREES`` stretches.  The keys are prefixes of the stretches, all
+   of the one length (``depth``, 6 for these constants) that is the longest at which
+   two nodes at the threshold share one with a chance of ``RECALL``.  It depends on
+   the constants alone, so no trie is built or walked; values past the prefix serve
+   only the comparison of step 2.  Nodes under one prefix are a bucket.
 2. Each node is compared with the least node of its buckets by signature, which is
    linear, and alike ones become groups.  Buckets that still hold nodes of several
    groups are searched for further pairs across groups, in blocks; such pairs join
