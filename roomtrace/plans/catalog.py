@@ -188,16 +188,37 @@ def _nested_documents(d: DataFrame) -> DataFrame:
 # --- scripts to reports -----------------------------------------------------
 
 
-def _pipeline(job: Callable[[DataFrame], DataFrame]) -> Query:
-    """Readings as lines of two sources per house in one table, then ``job`` with each source as a house."""
+def _scripts(d: DataFrame) -> DataFrame:
+    """(file, value) of the scripts of each source, whose names are the same for all; spaces fill them up to the size that the gate wants."""
+    file = F.concat(F.lit("file:/scripts/"), F.col("house_id"), F.lit("/"), F.col("doc_no").cast("string"), F.lit(".bhv"))
+    return to_documents(d).select(file.alias("file"), F.concat("value", F.repeat(F.lit(" "), files.MIN_BYTES)).alias("value"))
+
+
+def _pipeline(job: Callable[[DataFrame], DataFrame], area: str, at: str) -> Query:
+    """Readings as scripts of two sources per house, ``extract`` of them, then ``job`` on its lines with each source as a house.
+
+    Lines have no ids; those of the readings that stand first in what ``job`` found,
+    in ``area`` at the second ``at``, are looked up.  Equal ones have equal results.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = work_dir(spark, "homes")
-        readings = device_events(spark, sf_dir)
+        path = work_dir(use_utc(spark), "homes")
         source = F.concat(F.lit("home-"), F.col("house_id").cast("string"), F.when(F.col("event_id") % 2 == 0, "/a").otherwise("/b"))
-        readings.select(lines.line_text().alias("value"), source.alias("file"), "event_id").write.parquet(path)
-        back = lines.parse_lines(spark.read.parquet(path)).withColumnRenamed("file", "house_id")
-        return job(back)
+        readings = device_events(spark, sf_dir).withColumn("house_id", source)
+        _scripts(readings).write.parquet(f"{path}/scripts")
+        scripts = spark.readStream.schema("file string, value string").parquet(f"{path}/scripts")
+        gated = files.gate(F.substring_index("file", "/", -1), F.octet_length("value")).alias("gated")
+        jobs.finish(jobs.extract(scripts.select("file", "value", gated), f"{path}/etl", once=True))
+        sent = jobs.read_batches(spark, f"{path}/etl", "lines").select("value", "file")
+        found = jobs.on_lines(job, F.regexp_extract("file", "/scripts/(.*)/[^/]*$", 1))(sent)
+        first = ["house_id", area, at]
+        once = found.groupBy(*[c for c in found.columns if c != "event_id"]).agg(F.count("*").alias("n"))
+        on = readings.where((F.col("property_device") == S.PRESENCE) & (F.col("value_property_device") == S.ON)).select(
+            "event_id", "house_id", F.col("area").alias(area), F.date_trunc("second", "event_ts").cast("timestamp_ntz").alias(at)
+        )
+        # As many lines as readings, or none of them.
+        whole = once.join(on.groupBy(*first).agg(F.count("*").alias("n")), [*first, "n"])
+        return on.join(whole, first).select(*found.columns)
 
     return query
 
@@ -312,8 +333,8 @@ QUERIES: dict[str, Query] = {
     },
     "sorted_events": on_readings(lambda d: ordering.sorted_events(d).select(*FIELDS, "rn")),
     "first_event": on_readings(lambda d: ordering.first_event(d).select(*FIELDS)),
-    "pipeline_movements": _pipeline(movements),
-    "pipeline_visits": _pipeline(visits),
+    "pipeline_movements": _pipeline(movements, "from_area", "from_ts"),
+    "pipeline_visits": _pipeline(visits, "area", "entry_ts"),
     "running_presence_split": on_presence(
         lambda d: ordering.running_presence(d, limits=Limits(200, 1000)).select("key", "event_id", "n"), S.ON
     ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from roomtrace.__main__ import main
 from roomtrace.streaming.jobs import read_batches
 
@@ -99,3 +101,15 @@ def test_text_files_of_lines(spark, tmp_path):
         (tmp_path / "in" / f"{name}.txt").write_text("2019-03-05 18:00:00,d,sensedPresence,on,toilet\n")
     main(["running", str(tmp_path / "in"), str(tmp_path / "out"), "--text"])
     assert [r.n for r in read_batches(spark, str(tmp_path / "out"), "running").collect()] == [2]
+
+
+@pytest.mark.parametrize("name", ["pipeline_movements", "pipeline_visits"])
+def test_pipeline_queries_take_scripts(spark, monkeypatch, name):
+    from roomtrace.plans import catalog
+
+    seen = []
+    for job in ("extract", "on_lines"):
+        real = getattr(catalog.jobs, job)
+        monkeypatch.setattr(catalog.jobs, job, lambda *a, job=job, real=real, **b: seen.append((job, a[0])) or real(*a, **b))
+    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert [job for job, _ in seen] == ["extract", "on_lines"] and {"file", "value", "gated"} == set(seen[0][1].columns)
