@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, decontaminate, html_cut, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe
+from roomtrace.llm import chat, decontaminate, html_cut, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe, turn_repair
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
 }
 
 ORACLE = {
