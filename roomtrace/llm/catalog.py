@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from roomtrace.llm import chat, decontaminate, html_cut, licenses, ngram_join, packing, quality_gam, quality_rules, token_files, trie_bpe, turn_repair
+from roomtrace.llm import (
+    chat,
+    decontaminate,
+    disguises,
+    html_cut,
+    licenses,
+    ngram_join,
+    packing,
+    quality_gam,
+    quality_rules,
+    token_files,
+    trie_bpe,
+    turn_repair,
+)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -16,6 +29,7 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
     "op11_turn_repair": turn_repair.op11_turn_repair,
+    "op12_disguised_pii": disguises.op12_disguised_pii,
 }
 
 ORACLE = {
