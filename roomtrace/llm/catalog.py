@@ -12,6 +12,7 @@ from roomtrace.llm import (
     packing,
     quality_gam,
     quality_rules,
+    spelling,
     token_files,
     trie_bpe,
     turn_repair,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_chat_formatting": chat.op10_chat_formatting,
     "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_disguised_pii": disguises.op12_disguised_pii,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE = {
@@ -38,4 +40,5 @@ ORACLE = {
     "op8_license_scan": licenses.OP8_SQL,
     "op9_quality_rules": quality_rules.OP9_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
+    "op13_spelling_variants": spelling.OP13_SQL,
 }

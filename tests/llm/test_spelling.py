@@ -1,0 +1,115 @@
+"""Spelling variants against a comparison of all pairs of words."""
+
+from __future__ import annotations
+
+import random
+import time
+import zlib
+
+import pytest
+
+from conftest import rows
+from roomtrace.llm import spelling as S
+
+
+def near(a, b):
+    """Exactly one code point inserted, deleted or replaced, by looking at every place."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(counts):
+    out = {}
+    for w, n in counts.items():
+        around = [v for v in counts if near(w, v)]
+        top = min(around, key=lambda v: (-counts[v], v), default=None)
+        form = top if top is not None and counts[top] >= 2 * n else None
+        out[w] = [form, n, len(around), None if form is None else counts[form]]
+    for w in out:
+        root = w
+        while out[root][0] is not None:
+            root = out[root][0]
+        out[w].append(root)
+    return out
+
+
+def random_words(rnd, n, letters, least, most):
+    return sorted({"".join(rnd.choice(letters) for _ in range(rnd.randrange(least, most))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcé", "abcdefghij"])
+def test_acceptor(letters):
+    rnd = random.Random(len(letters))
+    for _ in range(200):
+        words = random_words(rnd, rnd.randrange(0, 40), letters, 0, 6)
+        a = S.Acceptor(words)
+        assert a.count[a.start] == len(words)
+        # Numbers follow the order of the words.
+        for i, word in enumerate(words):
+            state, n = a.start, 0
+            for c in word:
+                state, k = a.arcs[state][c]
+                n += k
+            assert a.final[state] and n == i
+        # Minimal: no two states accept the same words.
+        assert len({(f, tuple(x.items())) for f, x in zip(a.final, a.arcs)}) == len(a.arcs)
+        found = [frozenset(p) for p in a.one_edit_pairs()]
+        assert len(found) == len(set(found))
+        assert set(found) == {frozenset((i, j)) for i in range(len(words)) for j in range(i) if near(words[i], words[j])}
+
+
+def test_long_words_take_linear_time():
+    start = time.perf_counter()
+    words = ["x" * 100_000, "x" * 100_001, "xy" * 50_000, "x" * 50_000 + "y" + "x" * 50_000, "xy" * 50_000 + "x"]
+    got = {frozenset(map(len, p)) for p in S.pairs_of_part(words, 100_000, True)}
+    assert got == {frozenset((100_000, 100_001))}
+    assert time.perf_counter() - start < 20
+
+
+def test_near_words_and_roots(spark):
+    rnd = random.Random(11)
+    counts = {w: rnd.choice([3, 3, 4, 7, 8, 20, 50]) for w in random_words(rnd, 700, "abcß", 5, 9)}
+    counts |= {"chain" + "x" * i: 3 * 2**i for i in range(1, 9)}
+    known = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    got = {}
+    for r in rows(S.near_words(known)):
+        got.setdefault(r["word"], []).append((r["near"], r["near_n"]))
+    want = {w: sorted((v, counts[v]) for v in counts if near(w, v)) for w in counts}
+    assert {w: sorted(v) for w, v in got.items()} == {w: v for w, v in want.items() if v}
+
+
+def words_of(docs):
+    counts = {}
+    for doc, text in docs:
+        run = ""
+        for c in (text or "") + " ":
+            if c.isascii() and c.isalpha() or "À" <= c <= "ÿ":
+                run += c.lower() if c.isascii() else c
+            elif run:
+                h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+                if h % 97 == 0:
+                    run = run[: h % len(run)] + run[h % len(run) + 1 :]
+                counts[run] = counts.get(run, 0) + 1
+                run = ""
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def test_variants(spark, odd):
+    rnd = random.Random(2)
+    base = random_words(rnd, 60, "abcÉé", 5, 8)
+    docs = [(d, " ".join(rnd.choice(base)[: rnd.choice([9, 9, 9, -1])] for _ in range(60))) for d in range(150)]
+    docs += [(None, "Chaine chaine CHAINE"), (7, None), (8, ""), (9, "chain×e " * 3 + "z" * 50_000)]
+    docs += docs[:3]
+    counts = words_of(docs)
+    df = spark.createDataFrame([(d, t, "clash") for d, t in docs], "doc_id int, text string, word string").repartition(5)
+    got = {r["word"]: [r["form"], r["n"], r["n_near"], r["form_n"], r["root"]] for r in rows(S.variants(spark, df))}
+    assert got == brute(counts)
+    assert any(v[0] for v in got.values())
+
+
+def test_odd_rows(spark, odd, empty):
+    assert {r["word"] for r in rows(S.variants(spark, odd))} == {"slept", "there"}
+    assert rows(S.variants(spark, empty)) == []
