@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="roomtrace-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package to the Python workers of all executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).parent
+    # A file of the driver, which Spark copies to every executor.
+    archive = Path(tempfile.mkdtemp(prefix="roomtrace-code-")) / "roomtrace-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State of any size lies on the executors' disks; operators with timers need this store.
+
+    Streams that are started later use it; one that has begun keeps the store it began with.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

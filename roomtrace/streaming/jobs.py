@@ -35,7 +35,8 @@ def stream_raw_events(spark: SparkSession, sf_dir: str, **options: str) -> DataF
     return spark.readStream.schema(S.RAW_EVENTS).options(**options).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
+def start_log(writer, checkpoint: str, once: bool) -> StreamingQuery:
+    """Starts a stream whose log is kept at ``checkpoint``; ``once`` takes what is there and stops."""
     writer = writer.option("checkpointLocation", checkpoint)
     if once:
         return writer.trigger(availableNow=True).start()
@@ -71,7 +72,7 @@ def per_batch(
             if several:
                 batch.unpersist()
 
-    return _start(stream.writeStream.foreachBatch(process), f"{path}/_log", once)
+    return start_log(stream.writeStream.foreachBatch(process), f"{path}/_log", once)
 
 
 def read_batches(spark: SparkSession, path: str, name: str, kind: str = "parquet") -> DataFrame:
@@ -147,7 +148,7 @@ def house_report(
 
 def show(stream: DataFrame, path: str, mode: str = "append", once: bool = False) -> StreamingQuery:
     """Prints the rows of every batch; the log of taken files is kept under ``path``."""
-    return _start(stream.writeStream.format("console").outputMode(mode), f"{path}/_log", once)
+    return start_log(stream.writeStream.format("console").outputMode(mode), f"{path}/_log", once)
 
 
 def running_presence(
@@ -159,12 +160,12 @@ def running_presence(
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/running/batch_id={batch_id}")
 
-    return _start(counts.writeStream.outputMode("update").foreachBatch(process), f"{path}/_log", once)
+    return start_log(counts.writeStream.outputMode("update").foreachBatch(process), f"{path}/_log", once)
 
 
 def land(stream: DataFrame, path: str, once: bool = False) -> StreamingQuery:
     """Copies arriving rows to a parquet table under ``path/landed``."""
-    return _start(
+    return start_log(
         stream.writeStream.format("parquet").option("path", f"{path}/landed"), f"{path}/_log", once
     )
 
