@@ -6,7 +6,7 @@ the query, so each grows with it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,7 +21,7 @@ from roomtrace.session import use_utc, work_dir
 from roomtrace.sources import behaviour, files, lines
 from roomtrace.sources.documents import KEYS as DOC_KEYS, to_documents
 from roomtrace.sources.tables import as_device_events, device_events
-from roomtrace.streaming import jobs
+from roomtrace.streaming import jobs, ordered, totals
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -293,6 +293,56 @@ def _stream_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("batch_id").cast("bigint").alias("batch_id"), F.col("value").alias("line"))
 
 
+#: Deliveries of the readings, and how late they may be.
+DELIVERIES, LATE_SECONDS = 5, 6 * 3600
+
+
+def _deliver(readings: DataFrame, path: str, late: int) -> Iterator[int]:
+    """Writes the readings to ``path`` as files in the order of their arrival, up to ``late`` seconds after
+    their time; after each of ``DELIVERIES`` equal stretches of it the caller has its turn."""
+    arrival = E.micros(F.col("event_ts"))
+    if late:
+        arrival = arrival + F.pmod(F.xxhash64("event_id"), F.lit(late * 1_000_000))
+    arriving = readings.withColumn("arrival", arrival)
+    first, last = arriving.agg(F.min("arrival"), F.max("arrival")).first()
+    if first is None:
+        return
+    part = F.floor((F.col("arrival") - first) * DELIVERIES / (last - first + 1))
+    for i in range(DELIVERIES):
+        arriving.where(part == i).drop("arrival").write.mode("append").parquet(path)
+        yield i
+
+
+def _over_batches(job: Callable[[DataFrame, str], DataFrame], reading: str | None = None) -> Query:
+    """``job`` on the presence readings as they arrive in several batches, late and out of order, then a mark behind the last one."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = work_dir(use_utc(spark), "deliveries")
+        readings = device_events(spark, sf_dir, [S.PRESENCE], reading).where(F.col("event_ts").isNotNull())
+        readings.limit(0).write.parquet(f"{path}/in")
+        stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
+        found = job(stream, f"{LATE_SECONDS} seconds")
+        for _ in _deliver(readings, f"{path}/in", LATE_SECONDS):
+            jobs.finish(jobs.land(found, path, once=True))
+        end = readings.agg((F.max("event_ts") + F.expr(f"INTERVAL '{2 * LATE_SECONDS}' SECOND")).alias("event_ts"))
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema if f.name != "event_ts"]
+        end.select("event_ts", *nothing).select(*readings.columns).write.mode("append").parquet(f"{path}/in")
+        jobs.finish(jobs.land(found, path, once=True))
+        return spark.read.schema(found.schema).parquet(f"{path}/landed")
+
+    return query
+
+
+def _stream_running_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(use_utc(spark), "running-readings")
+    readings = device_events(spark, sf_dir, [S.PRESENCE], S.ON)
+    readings.limit(0).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
+    for _ in _deliver(readings, f"{path}/in", 0):
+        jobs.finish(totals.running_presence_readings(stream, path, once=True))
+    return jobs.read_batches(spark, path, "readings").select("key", "event_id", "n")
+
+
 QUERIES: dict[str, Query] = {
     "scan_device_events": on_readings(lambda d: d.select(*FIELDS)),
     "parse_device_line": on_readings(lambda d: lines.parse_lines(_sent_lines(d))),
@@ -350,4 +400,7 @@ QUERIES: dict[str, Query] = {
     "stream_report_lines": _stream_report_lines,
     "stream_visits": _batch_job("visits"),
     "stream_movement": _batch_job("movement"),
+    "stream_visits_across": _over_batches(ordered.visits_in_stream),
+    "stream_movement_across": _over_batches(ordered.movements_in_stream, S.ON),
+    "stream_running_readings": _stream_running_readings,
 }

@@ -269,6 +269,9 @@ ORACLE["stream_running_presence"] = ORACLE["presence_count"]
 ORACLE["running_presence_split"] = ORACLE["running_presence_count"]
 ORACLE["movement_split"] = ORACLE["movement_transitions"]
 ORACLE["visits_split"] = ORACLE["visits_all"]
+ORACLE["stream_visits_across"] = ORACLE["visits_all"]
+ORACLE["stream_movement_across"] = ORACLE["movement_transitions"]
+ORACLE["stream_running_readings"] = ORACLE["running_presence_count"]
 
 ORACLE["nested_documents"] = _sql(
     """SELECT house_id, doc_no, pos, sec_ts AS event_ts, id_device, property_device, value_property_device, area

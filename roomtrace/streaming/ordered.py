@@ -170,6 +170,11 @@ class MovementsInOrder(InTimeOrder):
         return found, sorted((r for rows in waiting.values() for r in rows), key=_in_order)
 
 
+def _watched(stream: DataFrame, delay: str) -> DataFrame:
+    """Adds ``at``, the time as an instant (zone-less times are read as UTC), under a watermark."""
+    return stream.withColumn("at", F.timestamp_micros(micros(F.col("event_ts")))).withWatermark("at", delay)
+
+
 def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor: InTimeOrder, found: str) -> DataFrame:
     """``rows`` with ``opens`` and ``label``, held back and matched; openings lie in one part, the others in all."""
     use_rocksdb(rows.sparkSession)
@@ -181,7 +186,7 @@ def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor:
         salt = F.explode(F.when(F.col("opens"), F.array(salt_of(F.col("event_id"), parts))).otherwise(every))
     grouped = rows.select(
         *keys,
-        "event_ts",
+        "at",
         "mark",
         "opens",
         "label",
@@ -204,7 +209,7 @@ def visits_in_stream(
     wanted = on_off & F.col("house_id").isNotNull() & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
     entry = F.coalesce(F.col("value_property_device") == S.ON, F.lit(False))
     rows = (
-        stream.withWatermark("event_ts", delay)
+        _watched(stream, delay)
         .withColumn("mark", is_mark())
         .filter(F.col("event_ts").isNotNull() & (F.coalesce(wanted, F.lit(False)) | F.col("mark")))
         .withColumn("opens", entry)
@@ -226,7 +231,7 @@ def movements_in_stream(stream: DataFrame, delay: str, parts: Column | None = No
     """What ``operators.movement.movements`` finds in all readings of the stream: (house_id, event_id, from_area, to_area, from_ts, to_ts)."""
     wanted = presence_is(S.ON) & F.col("house_id").isNotNull() & F.col("area").isNotNull()
     rows = (
-        stream.withWatermark("event_ts", delay)
+        _watched(stream, delay)
         .withColumn("mark", is_mark())
         .filter(F.col("event_ts").isNotNull() & (F.coalesce(wanted, F.lit(False)) | F.col("mark")))
         .withColumn("opens", ~F.col("mark"))
