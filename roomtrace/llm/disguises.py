@@ -157,14 +157,27 @@ def _characters() -> dict[str, str]:
 
 
 CHARACTERS = _characters()
-_ODD = re.compile("[" + "".join(sorted(CHARACTERS)).replace("-", r"\-") + "]+")
+#: Rewritten characters that Latin-1 has too.
+_LATIN = [c for c in CHARACTERS if ord(c) < 256]
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def plain_characters(tape: Tape) -> None:
     text = tape.text
     if text.isascii():
         return
-    tape.rewrite([(i, i + 1, CHARACTERS[text[i]]) for m in _ODD.finditer(text) for i in range(*m.span())])
+    there = [c for c in _LATIN if c in text] if _is_latin(text) else list(CHARACTERS.keys() & set(text))
+    if there:
+        # A class of the few that are there is searched much faster than one of all.
+        found = re.finditer("[" + "".join(map(re.escape, there)) + "]", text)
+        tape.rewrite([(m.start(), m.end(), CHARACTERS[m.group()]) for m in found])
 
 
 _DIGIT_LIKE = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?:[ .()-]{1,2}[0-9OoIl]++)*+(?![A-Za-z0-9])")
@@ -229,10 +242,16 @@ def spelled_digits(tape: Tape) -> None:
 
 _OPEN, _CLOSE = r"[(\[{<][ \t]{0,3}", r"[ \t]{0,3}[)\]}>]"
 _DOT = rf"(?:\.|[ \t]\.[ \t]|[ \t]{{0,3}}{_OPEN}(?:\.|{_DOTS}){_CLOSE}[ \t]{{0,3}}|{_GAP}(?:{_DOTS}){_GAP}|&#0*46;|&#x0*2e;|&period;)"
-_AT = re.compile(
-    rf"(?P<sure>{_OPEN}(?:{'|'.join(AT_WORDS)}|@){_CLOSE}|(?<=[a-z0-9])[(\[{{<]a[)\]}}>](?=[a-z0-9])|&#0*64;|&#x0*40;|&commat;|%40|(?<=[a-z0-9])_at_)[ \t]{{0,3}}(?=[a-z0-9])"
-    rf"|(?<=[ \t])(?P<word>{'|'.join(AT_WORDS)}){_GAP}(?=[a-z0-9-]{{1,63}}{_DOT}[a-z0-9])"
-    rf"|(?P<sign>@)[ \t]{{0,3}}(?=[a-z0-9-]{{1,63}}{_DOT}[a-z0-9])",
+_NAMED = rf"(?=[a-z0-9-]{{1,63}}{_DOT}[a-z0-9])"
+# Each pattern begins with a few characters, which is what makes its search fast.
+_AT = (
+    ("sure", re.compile(rf"[(\[{{<][ \t]{{0,3}}(?:{'|'.join(AT_WORDS)}|@){_CLOSE}[ \t]{{0,3}}(?=[a-z0-9])")),
+    ("sure", re.compile(r"[(\[{<](?<=[a-z0-9].)a[)\]}>](?=[a-z0-9])")),
+    ("sure", re.compile(r"&(?:#0*64|#x0*40|commat);[ \t]{0,3}(?=[a-z0-9])")),
+    ("sure", re.compile(r"%40(?=[a-z0-9])")),
+    ("sure", re.compile(r"_at_(?<=[a-z0-9]_at_)(?=[a-z0-9])")),
+    ("word", re.compile(rf" (?:{'|'.join(AT_WORDS)}){_GAP}{_NAMED}")),
+    ("sign", re.compile(rf"@[ \t]{{0,3}}{_NAMED}")),
 )
 _HOST = re.compile(rf"[a-z0-9-]++(?:{_DOT}[a-z0-9-]++)++")
 _DOT_IN = re.compile(_DOT)
@@ -251,8 +270,9 @@ def _local(text: str, end: int, floor: int) -> int:
 def at_and_dot(tape: Tape) -> None:
     low = lowered(tape.text)
     edits, floor = [], 0
-    for m in _AT.finditer(low):
-        a, b = m.span()
+    marks = sorted((m.start(), m.end(), kind) for kind, pattern in _AT for m in pattern.finditer(low))
+    for a, b, kind in marks:
+        core = a
         if a < floor:
             continue
         blanks = 0
@@ -265,13 +285,13 @@ def at_and_dot(tape: Tape) -> None:
         said = [d for d in _DOT_IN.finditer(low, host.start(), host.end()) if d.group() != "."]
         # "look at example.com" is no address: with a plain word on both sides the name must have the form of one.
         named = low[start].isalnum() and low[a - 1].isalnum() and not low[start:a].isalpha()
-        if m.group("word") and not named and all(d.group().strip() == "." for d in said):
+        if kind == "word" and not named and all(d.group().strip() == "." for d in said):
             continue
         # A sign with a blank on one side only is a mention.
-        if m.group("sign") and bool(blanks) != (b > m.end("sign")):
+        if kind == "sign" and bool(blanks) != (b > core + 1):
             continue
         before = []
-        while said or m.group("sure"):
+        while said or kind == "sure":
             d = _DOT_BEFORE.search(low, max(floor, start - _LONGEST_DOT), start)
             if d is None or d.group() == "." or (rest := _local(low, d.start(), floor)) == d.start():
                 break
