@@ -18,7 +18,7 @@ from roomtrace.operators.movement import movements
 from roomtrace.operators.visits import VISIT_AREAS, visits
 from roomtrace.plans.rules import STATUS_RULES
 from roomtrace.session import use_utc, work_dir
-from roomtrace.sources import behaviour, files, lines
+from roomtrace.sources import behaviour, files, large, lines
 from roomtrace.sources.documents import KEYS as DOC_KEYS, to_documents
 from roomtrace.sources.tables import as_device_events, device_events
 from roomtrace.streaming import jobs, ordered, totals
@@ -185,6 +185,21 @@ def _nested_documents(d: DataFrame) -> DataFrame:
     return behaviour.behaviour_events(grouped, DOC_KEYS)
 
 
+#: Changes of a script that is read in splits; a house gets as many scripts as it needs.
+LARGE_CHANGES = 100_000
+
+
+def _large_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Script files of whole houses, read in splits."""
+    path = work_dir(use_utc(spark), "large-scripts")
+    scripts = to_documents(device_events(spark, sf_dir), changes=LARGE_CHANGES)
+    filled = F.concat("value", F.repeat(F.lit(" "), files.MIN_BYTES))
+    scripts.select(*DOC_KEYS, filled.alias("value")).write.partitionBy(*DOC_KEYS).text(path)
+    changes = large.large_scripts(spark, path).changes
+    keys = [F.regexp_extract("file", f"/{k}=([0-9]+)/", 1).cast("bigint").alias(k) for k in DOC_KEYS]
+    return changes.select(*keys, "pos", "event_ts", "id_device", "property_device", "value_property_device", "area")
+
+
 # --- scripts to reports -----------------------------------------------------
 
 
@@ -357,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "zone_conflicts": on_readings(_zone_conflicts),
     "behaviour_to_events": on_readings(_behaviour_to_events),
     "nested_documents": on_readings(_nested_documents),
+    "large_scripts": _large_scripts,
     "file_gate": _file_gate,
     "refused_files": _refused_files,
     "csv_roundtrip": _csv_roundtrip,

@@ -278,6 +278,11 @@ ORACLE["nested_documents"] = _sql(
        FROM g""",
     _documents("area", 200),
 )
+ORACLE["large_scripts"] = _sql(
+    """SELECT house_id, doc_no, pos, sec_ts AS event_ts, id_device, property_device, value_property_device, area
+       FROM g""",
+    _documents("area", 100_000),
+)
 ORACLE["rule_counts_of_lines"] = _sql(
     "SELECT rule_id, group_name, property_device, area, n FROM s",
     STATUS.replace("LEFT JOIN d ON", "LEFT JOIN (SELECT * FROM d WHERE property_device <> 'flood.alarm') d ON"),

@@ -52,8 +52,8 @@ def _list(name: str) -> Column:
     return F.coalesce(F.col(f"d.`{name}`"), F.array())
 
 
-# A start tag up to its end; ">" may stand in quotes.
-_REST = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+# A start tag up to its end; ">" may stand in quotes.  Possessive: Java repeats such groups without recursion.
+TAG_REST = r"(?=[\s/>])[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
 
 
 def _bare(value: Column) -> Column:
@@ -70,9 +70,9 @@ def _grouped(value: Column) -> Column:
 def _flat(value: Column) -> Column:
     """The document with its read elements, found at any depth, right under the root, in their order."""
     bare = _bare(value)
-    elements = F.regexp_extract_all(bare, F.lit(f"<(?:{'|'.join(READ_TAGS)}){_REST}"), F.lit(0))
+    elements = F.regexp_extract_all(bare, F.lit(f"<(?:{'|'.join(READ_TAGS)}){TAG_REST}"), F.lit(0))
     alone = F.transform(elements, lambda e: F.regexp_replace(e, r"/?>$", "/>"))
-    return F.concat(F.regexp_extract(bare, f"<behavior{_REST}", 0), F.array_join(alone, ""), F.lit("</behavior>"))
+    return F.concat(F.regexp_extract(bare, f"<behavior{TAG_REST}", 0), F.array_join(alone, ""), F.lit("</behavior>"))
 
 
 def _whole_number(text: Column) -> Column:
@@ -177,22 +177,35 @@ def _at() -> Column:
     return from_seconds(seconds(F.col("start_ts")) + F.col("elapsed"))
 
 
+def _zones_by_device(zones: Column) -> Column:
+    """Entries (device, zones in document order): sorted once, then cut where the device changes."""
+    placed = F.array_sort(F.transform(zones, lambda z, i: F.struct(z["device"].alias("device"), i.alias("at"), z["zone"].alias("zone"))))
+
+    def starts_of(rows: Column) -> Column:
+        places = F.when(F.size(rows) > 0, F.sequence(F.lit(1), F.size(rows))).otherwise(F.array().cast("array<int>"))
+        before = lambda i: F.element_at(rows, F.greatest(i - 1, F.lit(1)))["device"]
+        return F.struct(rows.alias("rows"), F.filter(places, lambda i: (i == 1) | (F.element_at(rows, i)["device"] != before(i))).alias("starts"))
+
+    def cut(found: Column) -> Column:
+        rows, starts = found["rows"], found["starts"]
+        ends = F.when(F.size(starts) > 0, F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(rows) + 1)))
+        return F.zip_with(
+            starts,
+            F.coalesce(ends, starts),
+            lambda a, b: F.struct(F.element_at(rows, a)["device"], F.transform(F.slice(rows, a, b - a), lambda r: r["zone"]).alias("zones")),
+        )
+
+    # Arrays of one element keep what is computed once from being computed for every element.
+    return F.flatten(F.transform(F.transform(F.array(placed), starts_of), cut))
+
+
 def paired_changes(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, pos, delay, elapsed, event_ts, id_device, property_device,
     value_property_device, zones): the i-th change with the i-th delay.
 
     ``zones`` are the zones of the device in document order.
     """
-    # The zones of each device are gathered once per document, then looked up by change.
-    devices = F.array_distinct(F.transform("zones", lambda z: z["device"]))
-    by_device = F.map_from_entries(
-        F.transform(
-            devices,
-            lambda name: F.struct(
-                name, F.transform(F.filter("zones", lambda z: z["device"] == name), lambda z: z["zone"]).alias("zones")
-            ),
-        )
-    )
+    by_device = F.map_from_entries(_zones_by_device(F.col("zones")))
     none = F.array().cast("array<string>")
 
     def pairs(zones_of: Column) -> Column:

@@ -262,3 +262,37 @@ def test_gate(spark, tmp_path):
 def test_reading_as_a_line(spark):
     df = readings(spark, [("h", 3, "d", "p", "on", "a")])
     assert df.select(lines.line_text().alias("t")).first().t == f"{at(3):%Y-%m-%d %H:%M:%S},d,p,on,a"
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        "<delay" + " " * 100_000 + 'value="1" unit="h"/>',
+        "<delay " + " ".join(f'a{i}="x"' for i in range(150)) + ' value="1" unit="h"/>',
+        '<delay note="' + "a > b " * 20_000 + '" value="1" unit="h"/>',
+    ],
+)
+def test_huge_tags_in_nested_documents(spark, tag):
+    body = f"<home>{zone('d', 'a')}{tag}{change('d')}</home>"
+    assert [e[0] for e in events(docs(spark, doc(body)))] == [dt.datetime(2019, 3, 5, 18, 0)]
+
+
+def test_more_attributes_than_the_xml_parser_takes_are_a_reason(spark):
+    tag = "<delay " + " ".join(f'a{i}="x"' for i in range(100_000)) + "/>"
+    assert reasons(docs(spark, doc(f"<home>{zone('d', 'a')}{tag}</home>"))) == {"f0": "not XML"}
+
+
+def test_a_huge_open_tag_is_a_reason(spark):
+    df = docs(spark, doc("<home>" + zone("d", "a") + "</home>").replace("</behavior>", "<delay " + "a='b' " * 100_000))
+    assert reasons(df) == {"f0": "not XML"}
+
+
+def test_many_devices_with_zones_in_any_order(spark):
+    import random
+
+    rnd = random.Random(4)
+    names = [f"d{rnd.randrange(30)}" for _ in range(200)]
+    body = "".join(zone(d, f"z{i}") for i, d in enumerate(names)) + "".join(delay(1, "m") + change(f"d{i}") for i in range(32))
+    changes = B.paired_changes(B.parse_documents(docs(spark, doc(body)), ["file"]), ["file"])
+    for r in changes.collect():
+        assert r.zones == [f"z{i}" for i, d in enumerate(names) if d == r.id_device]
