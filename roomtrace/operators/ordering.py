@@ -62,6 +62,16 @@ def positions(
     )
 
 
+def global_positions(events: DataFrame, ties: list[str] | None = None, name: str = "rn", limits: Limits | None = None) -> DataFrame:
+    """Adds the 1-based position of each row in the order of all houses: event_ts, ``ties``, event_id.
+
+    The whole table is one group, cut by time (and single instants by tie and id) as hot
+    houses are; slices are counted where they lie and start from the rows of the slices before.
+    """
+    whole = events.withColumn("_all", F.lit(0))
+    return positions(whole, ["_all"], ties, name, limits).drop("_all")
+
+
 def sorted_events(events: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Readings ordered by (event_ts, area); ``rn`` is the place within the house."""
     ranked = positions(events, ["house_id"], ["area"], "rn", limits)

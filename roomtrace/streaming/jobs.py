@@ -2,8 +2,8 @@
 
 Counts and matching see one micro-batch at a time.  Every batch writes its own
 ``batch_id=N`` folder and overwrites it when it is run again, so a retried
-batch leaves no second copy.  The checkpoint log remembers which files were
-taken.
+batch leaves no second copy; a batch is read once all its folders are written.
+The checkpoint log remembers which files were taken.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roomtrace import schema as S
+from roomtrace.functions.expressions import micros
 from roomtrace.operators.counts import area_activity, presence_counts, report_counts, status_counts
 from roomtrace.operators.movement import movements
 from roomtrace.operators.reports import VISIT_PLACES, movement_lines, report_lines, visit_lines
@@ -43,41 +44,111 @@ def start_log(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return writer.trigger(processingTime=BATCH_INTERVAL).start()
 
 
+def open_manifest(spark: SparkSession, path: str) -> None:
+    """Makes the table of finished batches under ``path``, empty, unless it is there."""
+    spark.createDataFrame([], "batch_id bigint").write.mode("ignore").parquet(f"{path}/_committed")
+
+
+def commit(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Notes that all tables of the batch are written; until then ``read_batches`` leaves it out."""
+    done = spark.range(batch_id, batch_id + 1, 1, 1).withColumnRenamed("id", "batch_id")
+    done.write.mode("overwrite").parquet(f"{path}/_committed/{batch_id}")
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id) of the finished batches."""
+    return spark.read.schema("batch_id bigint").option("recursiveFileLookup", "true").parquet(f"{path}/_committed").distinct()
+
+
+def _write_jobs(
+    batch: DataFrame, batch_id: int, jobs: dict[str, Callable[[DataFrame], DataFrame]], path: str, text: tuple[str, ...]
+) -> None:
+    for name, job in jobs.items():
+        found = job(batch)
+        writer = found.write.mode("overwrite").format("text" if name in text else "parquet")
+        if name in text:
+            writer = writer.partitionBy(*found.columns[1:])
+        writer.save(f"{path}/{name}/batch_id={batch_id}")
+
+
+def _first_bad_file(batch: DataFrame, jobs: dict[str, Callable[[DataFrame], DataFrame]], names: list[str]) -> tuple[str, str]:
+    """A file without which a batch that fails may pass, and its error: the suspects are halved until one is left.
+
+    If one half passes, the bad file is in the other, which needs no try.
+    """
+    error = ""
+    while len(names) > 1:
+        half = names[: len(names) // 2]
+        try:
+            for job in jobs.values():
+                job(batch.where(F.col("file").isin(half))).write.format("noop").mode("overwrite").save()
+        except Exception as failure:  # Any error of a job; the whole batch has failed already.
+            names, error = half, str(failure)
+        else:
+            names = names[len(names) // 2 :]
+    return names[0], error
+
+
+DEAD_LETTERS = "dead_letters"
+
+
 def per_batch(
     stream: DataFrame,
     jobs: dict[str, Callable[[DataFrame], DataFrame]],
     path: str,
     once: bool = False,
     text: tuple[str, ...] = (),
+    set_aside: int = 0,
 ) -> StreamingQuery:
     """Runs ``jobs`` on every batch; job ``x`` writes to ``path/x/batch_id=N``.
 
     Tables are parquet, but jobs named in ``text`` give lines and write text
     files, in folders by what columns follow the line.  ``once`` takes what is there and stops; otherwise a batch starts
-    every minute.
+    every minute.  A batch counts once all its tables are written.
+
+    A batch that fails stops the stream, and is taken again when it is started again.  With ``set_aside``,
+    up to so many files of a batch (a stream with a column ``file``) are left out instead: the bad ones are found by
+    bisection, at most log2(files) tries each, and go to the table ``dead_letters`` of (file, error);
+    the others are delivered once.  If more are bad, the error is that of the batch.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        several = len(jobs) > 1
+        spark = batch.sparkSession
+        several = len(jobs) > 1 or set_aside > 0
         if several:
             batch = batch.persist()
         try:
-            for name, job in jobs.items():
-                found = job(batch)
-                writer = found.write.mode("overwrite").format("text" if name in text else "parquet")
-                if name in text:
-                    writer = writer.partitionBy(*found.columns[1:])
-                writer.save(f"{path}/{name}/batch_id={batch_id}")
+            dead: list[tuple[str, str]] = []
+            rest = batch
+            while True:
+                try:
+                    _write_jobs(rest, batch_id, jobs, path, text)
+                    break
+                except Exception as failure:
+                    if len(dead) >= set_aside:
+                        raise
+                    names = sorted(r.file for r in rest.select("file").where("file IS NOT NULL").distinct().collect())
+                    if not names:
+                        raise
+                    name, error = _first_bad_file(rest, jobs, names)
+                    dead.append((name, error or str(failure)))
+                    rest = rest.where(~F.col("file").eqNullSafe(name))
+            if set_aside:
+                letters = spark.createDataFrame(dead, "file string, error string")
+                letters.write.mode("overwrite").parquet(f"{path}/{DEAD_LETTERS}/batch_id={batch_id}")
+            commit(spark, path, batch_id)
         finally:
             if several:
                 batch.unpersist()
 
+    open_manifest(stream.sparkSession, path)
     return start_log(stream.writeStream.foreachBatch(process), f"{path}/_log", once)
 
 
 def read_batches(spark: SparkSession, path: str, name: str, kind: str = "parquet") -> DataFrame:
-    """What ``per_batch`` wrote for job ``name``, with its ``batch_id``."""
-    return spark.read.format(kind).option("basePath", f"{path}/{name}").load(f"{path}/{name}/batch_id=*")
+    """What job ``name`` wrote in the finished batches, with their ``batch_id``."""
+    written = spark.read.format(kind).option("basePath", f"{path}/{name}").load(f"{path}/{name}/batch_id=*")
+    return written.join(committed(spark, path), "batch_id", "left_semi").select(*written.columns)
 
 
 # The jobs a house stream runs, by table name.
@@ -103,7 +174,18 @@ def on_lines(job: Callable[[DataFrame], DataFrame], house: Column | None = None)
     return run
 
 
-def extract(stream: DataFrame, path: str, once: bool = False, legacy_other_unit: bool = False) -> StreamingQuery:
+def once_each(stream: DataFrame, delay: str, keys: list[str] | None = None) -> DataFrame:
+    """The stream without rows that were delivered before, equal in ``keys`` (all columns), if they come
+    within ``delay`` of the first; later ones are taken for new.  State keeps the keys of the last ``delay``."""
+    keys = keys or stream.columns
+    at = F.timestamp_micros(micros(F.col("event_ts")))
+    seen = stream.withColumn("_at", at).withWatermark("_at", delay)
+    return seen.dropDuplicatesWithinWatermark(keys).drop("_at")
+
+
+def extract(
+    stream: DataFrame, path: str, once: bool = False, legacy_other_unit: bool = False, set_aside: int = 0
+) -> StreamingQuery:
     """Behaviour documents to device lines: the table ``path/lines/batch_id=N`` of ``value, file``.
 
     ``file`` is the whole path of the script a line came from, so lines of
@@ -122,7 +204,7 @@ def extract(stream: DataFrame, path: str, once: bool = False, legacy_other_unit:
         "rejected": lambda parsed: rejected_documents(parsed, keys),
         "zone_conflicts": lambda parsed: zone_conflicts(paired_changes(parsed, keys)),
     }
-    return per_batch(parse_documents(stream, keys, legacy_other_unit), jobs, path, once)
+    return per_batch(parse_documents(stream, keys, legacy_other_unit), jobs, path, once, set_aside=set_aside)
 
 
 def house_report(
@@ -159,7 +241,9 @@ def running_presence(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/running/batch_id={batch_id}")
+        commit(batch.sparkSession, path, batch_id)
 
+    open_manifest(stream.sparkSession, path)
     return start_log(counts.writeStream.outputMode("update").foreachBatch(process), f"{path}/_log", once)
 
 

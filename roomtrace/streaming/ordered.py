@@ -250,3 +250,39 @@ def movements_in_stream(stream: DataFrame, delay: str, parts: Column | None = No
         from_micros(F.col("from_us")).alias("from_ts"),
         from_micros(F.col("to_us")).alias("to_ts"),
     )
+
+
+def visits_by_join(stream: DataFrame, delay: str, longest: int, areas: list[str] | None = None) -> DataFrame:
+    """Visits of at most ``longest`` seconds in built-in operators: entries joined with the exits of the
+    time after them, then the first exit of each entry.
+
+    Both sides and the first exits leave the state once the watermark has passed what they wait for.
+    An entry meets every exit of its area within ``longest``, so this suits short visits; ``visits_in_stream`` meets one.
+    """
+    presence = _watched(stream, delay).filter(
+        (F.col("property_device") == S.PRESENCE)
+        & F.col("house_id").isNotNull()
+        & F.col("event_ts").isNotNull()
+        & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
+    )
+    entries = presence.filter(F.col("value_property_device") == S.ON).select("house_id", "area", "event_id", F.col("at").alias("entry_at"))
+    exits = presence.filter(F.col("value_property_device") == S.OFF).select(
+        F.col("house_id").alias("exit_house"), F.col("area").alias("exit_area"), F.col("at").alias("exit_at"), "id_device", F.col("event_id").alias("exit_event")
+    )
+    met = entries.join(
+        exits,
+        (F.col("house_id") == F.col("exit_house"))
+        & (F.col("area") == F.col("exit_area"))
+        & (F.col("exit_at") > F.col("entry_at"))
+        & (F.col("exit_at") <= F.col("entry_at") + F.expr(f"INTERVAL '{longest}' SECOND")),
+    )
+    first = met.groupBy("house_id", "area", "event_id", "entry_at").agg(F.min(F.struct("exit_at", "id_device", "exit_event")).alias("exit"))
+    naive = lambda at: from_micros(F.unix_micros(at))
+    return first.select(
+        "house_id",
+        "area",
+        "event_id",
+        naive(F.col("entry_at")).alias("entry_ts"),
+        naive(F.col("exit.exit_at")).alias("exit_ts"),
+        F.col("exit.id_device").alias("exit_device"),
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roomtrace.operators.ordering import running_presence
-from roomtrace.streaming.jobs import start_log
+from roomtrace.streaming.jobs import commit, open_manifest, start_log
 
 SNAPSHOT = 20
 
@@ -60,5 +60,7 @@ def running_presence_readings(
         if before is not None and batch_id % snapshot == 0:
             totals = totals.unionByName(before).groupBy(*keys).agg(F.max("total").alias("total"))
         totals.write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
+        commit(batch.sparkSession, path, batch_id)
 
+    open_manifest(stream.sparkSession, path)
     return start_log(stream.writeStream.foreachBatch(process), f"{path}/_log", once)
