@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roomtrace import schema as S
 from roomtrace.functions import expressions as E
-from roomtrace.operators import counts, ordering, reports
+from roomtrace.operators import counts, ordering, reports, thresholds
 from roomtrace.operators.splitting import Limits
 from roomtrace.operators.movement import movements
 from roomtrace.operators.visits import VISIT_AREAS, visits
@@ -21,7 +22,7 @@ from roomtrace.session import use_utc, work_dir
 from roomtrace.sources import behaviour, files, large, lines
 from roomtrace.sources.documents import KEYS as DOC_KEYS, to_documents
 from roomtrace.sources.tables import as_device_events, device_events
-from roomtrace.streaming import jobs, ordered, totals
+from roomtrace.streaming import jobs, ledger, ordered, totals
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -312,13 +313,14 @@ def _stream_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 DELIVERIES, LATE_SECONDS = 5, 6 * 3600
 
 
-def _deliver(readings: DataFrame, path: str, late: int) -> Iterator[int]:
-    """Writes the readings to ``path`` as files in the order of their arrival, up to ``late`` seconds after
-    their time; after each of ``DELIVERIES`` equal stretches of it the caller has its turn."""
+def _deliver(readings: DataFrame, path: str, late: int, copies: int = 1) -> Iterator[int]:
+    """Writes the readings to ``path`` as files in the order of their arrival, each ``copies`` times and up to ``late`` seconds
+    after its time; after each of ``DELIVERIES`` equal stretches of it the caller has its turn."""
     arrival = E.micros(F.col("event_ts"))
     if late:
-        arrival = arrival + F.pmod(F.xxhash64("event_id"), F.lit(late * 1_000_000))
-    arriving = readings.withColumn("arrival", arrival)
+        arrival = arrival + F.pmod(F.xxhash64("event_id", "copy"), F.lit(late * 1_000_000))
+    copied = readings.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    arriving = copied.withColumn("arrival", arrival).drop("copy")
     first, last = arriving.agg(F.min("arrival"), F.max("arrival")).first()
     if first is None:
         return
@@ -328,18 +330,24 @@ def _deliver(readings: DataFrame, path: str, late: int) -> Iterator[int]:
         yield i
 
 
-def _over_batches(job: Callable[[DataFrame, str], DataFrame], reading: str | None = None) -> Query:
-    """``job`` on the presence readings as they arrive in several batches, late and out of order, then a mark behind the last one."""
+def _over_batches(
+    job: Callable[[DataFrame, str], DataFrame],
+    properties: list[str] | None = None,
+    reading: str | None = None,
+    copies: int = 1,
+    beyond: int = 2 * LATE_SECONDS,
+) -> Query:
+    """``job`` on the readings as they arrive in several batches, late and out of order, then a mark ``beyond`` seconds after the last one."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_dir(use_utc(spark), "deliveries")
-        readings = device_events(spark, sf_dir, [S.PRESENCE], reading).where(F.col("event_ts").isNotNull())
+        readings = device_events(spark, sf_dir, properties, reading).where(F.col("event_ts").isNotNull())
         readings.limit(0).write.parquet(f"{path}/in")
         stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
         found = job(stream, f"{LATE_SECONDS} seconds")
-        for _ in _deliver(readings, f"{path}/in", LATE_SECONDS):
+        for _ in _deliver(readings, f"{path}/in", LATE_SECONDS, copies):
             jobs.finish(jobs.land(found, path, once=True))
-        end = readings.agg((F.max("event_ts") + F.expr(f"INTERVAL '{2 * LATE_SECONDS}' SECOND")).alias("event_ts"))
+        end = readings.agg((F.max("event_ts") + F.expr(f"INTERVAL '{beyond}' SECOND")).alias("event_ts"))
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema if f.name != "event_ts"]
         end.select("event_ts", *nothing).select(*readings.columns).write.mode("append").parquet(f"{path}/in")
         jobs.finish(jobs.land(found, path, once=True))
@@ -348,6 +356,106 @@ def _over_batches(job: Callable[[DataFrame, str], DataFrame], reading: str | Non
     return query
 
 
+#: Seconds of the longest visit that the join looks for.
+LONGEST_VISIT = 3 * 86_400
+
+
+def _once_each(stream: DataFrame, delay: str) -> DataFrame:
+    return jobs.once_each(stream.where(F.col("event_id").isNotNull() | F.col("event_ts").isNull()), f"{2 * LATE_SECONDS} seconds").select(*FIELDS)
+
+
+def _value_rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rules as readings, up to 100,000 thresholds."""
+    readings = device_events(use_utc(spark), sf_dir)
+    prop = F.element_at(F.array(*[F.lit(p) for p in (S.TEMPERATURE, S.CARBON_DIOXIDE, S.CARBON_MONOXIDE)]), (F.col("event_id") % 3 + 1).cast("int"))
+    rules = readings.select(
+        F.col("event_id").alias("rule_id"), prop.alias("property_device"), "area", (F.col("event_id") % 100_000 / 200.0).alias("threshold")
+    )
+    return thresholds.counts_above(readings, rules)
+
+
+def _ledger_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scripts of half the houses, then all of them under other names, then all once more after the log was lost."""
+    path = work_dir(use_utc(spark), "ledger")
+    docs = to_documents(device_events(spark, sf_dir))
+    name = F.concat_ws("/", F.col("house_id").cast("string"), F.col("doc_no").cast("string"))
+    value = F.concat("value", F.lit("<!-- "), name, F.lit(" -->"))
+    scripts = docs.select("house_id", name.alias("file"), value.alias("value"))
+
+    def put(rows: DataFrame, folder: str) -> None:
+        rows.select(F.concat(F.lit(folder), F.lit("/"), "file").alias("file"), "value").write.mode("append").parquet(f"{path}/in")
+
+    def take(out: str) -> None:
+        stream = spark.readStream.schema("file string, value string").parquet(f"{path}/in")
+        job = lambda new: behaviour.behaviour_events(new, ["file"])
+        jobs.finish(ledger.take_once(stream, f"{path}/ledger", f"{path}/{out}", job, "events", once=True))
+
+    put(scripts.where("house_id % 2 = 0"), "first")
+    take("one")
+    put(scripts, "second")
+    take("one")
+    take("two")
+    found = jobs.read_batches(spark, f"{path}/one", "events").unionByName(jobs.read_batches(spark, f"{path}/two", "events"))
+    parts = F.split("file", "/")
+    return found.select(
+        parts[1].cast("bigint").alias("house_id"),
+        parts[2].cast("bigint").alias("doc_no"),
+        parts[0].alias("folder"),
+        "pos",
+        "event_ts",
+        "id_device",
+        "property_device",
+        "value_property_device",
+        "area",
+    )
+
+
+def _stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables per batch; the third batch is killed between them, and taken again."""
+    path = work_dir(use_utc(spark), "committed")
+    readings = device_events(spark, sf_dir)
+    readings.limit(0).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
+    killed = []
+
+    def areas(batch: DataFrame) -> DataFrame:
+        if killed == ["now"]:
+            killed.append("done")
+            raise InterruptedError("killed between two tables")
+        return batch.groupBy("area").count()
+
+    tables = {"ids": lambda batch: batch.select("event_id"), "areas": areas}
+    for i in _deliver(readings, f"{path}/in", 0):
+        if i == 2:
+            killed.append("now")
+            try:
+                jobs.finish(jobs.per_batch(stream, tables, path, once=True))
+            except StreamingQueryException:
+                # What is finished is what counts: the killed batch is not seen.
+                seen = jobs.read_batches(spark, path, "ids").agg(F.max("batch_id")).first()[0]
+                if seen is not None and seen > i:
+                    raise
+        jobs.finish(jobs.per_batch(stream, tables, path, once=True))
+    return jobs.read_batches(spark, path, "ids").select("event_id")
+
+
+def _dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each house as a file; those of one house make the job fail.  (file, n, dead)."""
+    path = work_dir(use_utc(spark), "dead-letters")
+    sent = device_events(spark, sf_dir).select(lines.line_text().alias("value"), F.concat(F.lit("home-"), F.col("house_id").cast("string")).alias("file"))
+    sent.write.parquet(f"{path}/in")
+
+    def job(batch: DataFrame) -> DataFrame:
+        fails = F.when(F.col("file") == "home-7", F.raise_error(F.lit("home-7 can't be read")).cast("bigint")).otherwise(1)
+        return batch.groupBy("file").agg(F.sum(fails).alias("n"))
+
+    stream = lines.stream_line_table(spark, f"{path}/in")
+    jobs.finish(jobs.per_batch(stream, {"counts": job}, path, once=True, set_aside=1))
+    counted = jobs.read_batches(spark, path, "counts").select("file", "n", F.lit(False).alias("dead"))
+    letters = jobs.read_batches(spark, path, jobs.DEAD_LETTERS)
+    return counted.unionByName(letters.select("file", F.lit(None).cast("bigint").alias("n"), F.lit(True).alias("dead")))
+
+
 def _stream_running_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(use_utc(spark), "running-readings")
     readings = device_events(spark, sf_dir, [S.PRESENCE], S.ON)
@@ -416,7 +524,19 @@ QUERIES: dict[str, Query] = {
     "stream_report_lines": _stream_report_lines,
     "stream_visits": _batch_job("visits"),
     "stream_movement": _batch_job("movement"),
-    "stream_visits_across": _over_batches(ordered.visits_in_stream),
-    "stream_movement_across": _over_batches(ordered.movements_in_stream, S.ON),
+    "stream_visits_across": _over_batches(ordered.visits_in_stream, [S.PRESENCE]),
+    "stream_movement_across": _over_batches(ordered.movements_in_stream, [S.PRESENCE], S.ON),
     "stream_running_readings": _stream_running_readings,
+    "stream_visits_by_join": _over_batches(
+        lambda stream, delay: ordered.visits_by_join(stream, delay, LONGEST_VISIT), [S.PRESENCE], beyond=2 * (LONGEST_VISIT + LATE_SECONDS)
+    ),
+    "value_rules_table": _value_rules_table,
+    "global_position": on_readings(lambda d: ordering.global_positions(d, ["area"]).select("event_id", "event_ts", "area", "rn")),
+    "global_position_split": on_readings(
+        lambda d: ordering.global_positions(d, ["area"], limits=Limits(200, 1000)).select("event_id", "event_ts", "area", "rn")
+    ),
+    "ledger_scripts": _ledger_scripts,
+    "stream_committed_batches": _stream_committed,
+    "dead_letters": _dead_letters,
+    "stream_repeated_rows": _over_batches(_once_each, copies=2),
 }

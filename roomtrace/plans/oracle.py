@@ -278,6 +278,31 @@ ORACLE["nested_documents"] = _sql(
        FROM g""",
     _documents("area", 200),
 )
+ORACLE["stream_visits_by_join"] = _sql("SELECT * FROM v WHERE exit_ts <= entry_ts + INTERVAL 3 DAY", VISITS)
+ORACLE["value_rules_table"] = _sql(
+    """SELECT r.rule_id, r.property_device, r.area, r.threshold, count(d.event_id) AS n FROM (
+         SELECT event_id AS rule_id, area, CAST(event_id % 100000 AS DOUBLE) / 200 AS threshold,
+           CASE event_id % 3 WHEN 0 THEN 'thermometer.currentTemperature' WHEN 1 THEN 'carbonDioxydeSensor.currentConcentration'
+             ELSE 'carbonMonoxydeSensor.currentConcentration' END AS property_device
+         FROM d) r
+       LEFT JOIN d ON d.property_device = r.property_device AND d.area = r.area
+         AND TRY_CAST(d.value_property_device AS DOUBLE) > r.threshold
+       GROUP BY ALL"""
+)
+ORACLE["global_position"] = _sql("SELECT event_id, event_ts, area, row_number() OVER (ORDER BY event_ts, area, event_id) AS rn FROM d")
+ORACLE["global_position_split"] = ORACLE["global_position"]
+ORACLE["ledger_scripts"] = _sql(
+    """SELECT house_id, doc_no, CASE WHEN house_id % 2 = 0 THEN 'first' ELSE 'second' END AS folder, pos, sec_ts AS event_ts,
+         id_device, property_device, value_property_device, area
+       FROM g""",
+    DOCUMENTS,
+)
+ORACLE["stream_committed_batches"] = _sql("SELECT event_id FROM d")
+ORACLE["dead_letters"] = _sql(
+    """SELECT concat('home-', CAST(house_id AS VARCHAR)) AS file, CASE WHEN house_id <> 7 THEN count(*) END AS n, house_id = 7 AS dead
+       FROM d GROUP BY house_id"""
+)
+ORACLE["stream_repeated_rows"] = _sql(f"SELECT DISTINCT {ALL} FROM d")
 ORACLE["large_scripts"] = _sql(
     """SELECT house_id, doc_no, pos, sec_ts AS event_ts, id_device, property_device, value_property_device, area
        FROM g""",

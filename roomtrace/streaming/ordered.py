@@ -259,28 +259,28 @@ def visits_by_join(stream: DataFrame, delay: str, longest: int, areas: list[str]
     Both sides and the first exits leave the state once the watermark has passed what they wait for.
     An entry meets every exit of its area within ``longest``, so this suits short visits; ``visits_in_stream`` meets one.
     """
-    presence = _watched(stream, delay).filter(
-        (F.col("property_device") == S.PRESENCE)
-        & F.col("house_id").isNotNull()
-        & F.col("event_ts").isNotNull()
-        & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
+    here = F.col("house_id").isNotNull() & (F.col("area").isNotNull() if areas is None else F.col("area").isin(areas))
+    here = here & (F.col("property_device") == S.PRESENCE)
+    # Conditions that name the time, and a struct as key, are not moved below the watermark, so that marks and other readings move it.
+    presence = _watched(stream.filter(F.col("event_ts").isNotNull()), delay)
+    place = F.struct("house_id", "area")
+    entries = presence.filter((here & (F.col("value_property_device") == S.ON)) | F.col("at").isNull()).select(
+        place.alias("place"), "event_id", F.col("at").alias("entry_at")
     )
-    entries = presence.filter(F.col("value_property_device") == S.ON).select("house_id", "area", "event_id", F.col("at").alias("entry_at"))
-    exits = presence.filter(F.col("value_property_device") == S.OFF).select(
-        F.col("house_id").alias("exit_house"), F.col("area").alias("exit_area"), F.col("at").alias("exit_at"), "id_device", F.col("event_id").alias("exit_event")
+    exits = presence.filter((here & (F.col("value_property_device") == S.OFF)) | F.col("at").isNull()).select(
+        place.alias("exit_place"), F.col("at").alias("exit_at"), "id_device", F.col("event_id").alias("exit_event")
     )
     met = entries.join(
         exits,
-        (F.col("house_id") == F.col("exit_house"))
-        & (F.col("area") == F.col("exit_area"))
+        (F.col("place") == F.col("exit_place"))
         & (F.col("exit_at") > F.col("entry_at"))
         & (F.col("exit_at") <= F.col("entry_at") + F.expr(f"INTERVAL '{longest}' SECOND")),
     )
-    first = met.groupBy("house_id", "area", "event_id", "entry_at").agg(F.min(F.struct("exit_at", "id_device", "exit_event")).alias("exit"))
+    first = met.groupBy("place", "event_id", "entry_at").agg(F.min(F.struct("exit_at", "id_device", "exit_event")).alias("exit"))
     naive = lambda at: from_micros(F.unix_micros(at))
     return first.select(
-        "house_id",
-        "area",
+        "place.house_id",
+        "place.area",
         "event_id",
         naive(F.col("entry_at")).alias("entry_ts"),
         naive(F.col("exit.exit_at")).alias("exit_ts"),

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, presence, random_rows, rows_of, table
+from helpers import at, random_rows, rows_of, table
 from roomtrace.operators.counts import status_counts
 from roomtrace.operators.visits import visits
 from roomtrace.sources import behaviour as B
@@ -132,14 +132,13 @@ def test_visits_by_join(spark, tmp_path):
     source, out, longest = str(tmp_path / "in"), str(tmp_path / "out"), 25 * 60
     for part in late_parts(rows, 6, 12):
         put(table(spark, part), source)
-    # Without a reading after them the last ones would wait for ever.
-    for minute in (1000, 2000):
-        put(presence(spark, [("late", minute, "d", v, "sleep") for v in ("on", "off")]), source)
+    put(mark(spark, 1000), source)
     df = table(spark, rows)
     progress = run(spark, ordered.visits_by_join(stream_of(spark, source, df), f"{DELAY} minutes", longest), out)
     want = [r for r in rows_of(visits(df)) if (r[4] - r[3]).total_seconds() <= longest]
     assert rows_of(spark.read.parquet(f"{out}/out").select(*visits(df).columns)) == want
-    assert sum(p["numInputRows"] > 0 for p in progress) == 8
+    assert sum(p["numInputRows"] > 0 for p in progress) == 7
+    assert state_rows(progress)[-1] == 0
 
 
 # --- ledger --------------------------------------------------------------
