@@ -208,10 +208,9 @@ def test_best_fit_decreasing(sizes, capacity):
     assert P.pack(sizes, capacity) == want
 
 
-def test_many_runs_of_the_tree(monkeypatch):
-    monkeypatch.setattr(P.FreeSpace, "RUN", 2)
+def test_many_shards():
     rnd = random.Random(1)
-    sizes = [rnd.randint(1, 50) for _ in range(500)]
+    sizes = [rnd.randint(1, 50) for _ in range(5000)]
     shards = P.pack(sizes, 60)
     load = Counter()
     for s, x in zip(shards, sizes):
@@ -219,6 +218,56 @@ def test_many_runs_of_the_tree(monkeypatch):
     assert max(load.values()) <= 60 and len(load) <= 1.1 * sum(sizes) / 60 + 1
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 200)), max_size=120))
+def test_free_space(steps):
+    tree, plain = P.FreeSpace(), []
+    for n, (size, free) in enumerate(steps):
+        fits = [e for e in plain if e[0] >= size * 4]
+        assert tree.take_tightest(size * 4) == (min(fits) if fits else None)
+        if fits:
+            plain.remove(min(fits))
+        tree.add((free, n))
+        plain.append((free, n))
+
+
+def brute_even(sizes, shards):
+    """Loads of the shards: groups above their share alone, then item by item best fit with the least capacity that does."""
+    rest, loads = sorted(sizes, reverse=True), []
+    while rest and len(loads) < shards - 1 and rest[0] * (shards - len(loads)) > sum(rest):
+        loads.append(rest.pop(0))
+    left = shards - len(loads)
+    capacity = max(-(-sum(rest) // left), max(rest, default=0))
+
+    def fit(capacity):
+        free = []
+        for x in rest:
+            fits = [(f, s) for s, f in enumerate(free) if f >= x]
+            if not fits and len(free) == left:
+                return None
+            if not fits:
+                free.append(capacity)
+            free[min(fits)[1] if fits else -1] -= x
+        return [capacity - f for f in free]
+
+    while fit(capacity) is None:
+        capacity += 1
+    return sorted(loads + fit(capacity))
+
+
+def test_whole_assignment_of_a_thousand_groups(spark):
+    rnd = random.Random(6)
+    texts = [f"{i} " + "x" * rnd.choice([1, 1, 5, 5, 5, 30, 31, 200, 900, rnd.randrange(3000)]) for i in range(1000)]
+    texts += [t for t in texts[:300] for _ in range(rnd.randrange(4))]
+    got = Counter()
+    for r in P.shard(docs(spark, texts), 7).collect():
+        got[r["shard"]] += r["size"]
+    sizes = Counter()
+    for t in texts:
+        sizes[t] += len(t) + 1
+    assert sorted(got.values()) == brute_even(list(sizes.values()), 7)
+
+
 def check_shards(rows, shards=16):
     by_text, slots, load = defaultdict(set), defaultdict(list), Counter({s: 0 for s in range(shards)})
     for r in rows:
