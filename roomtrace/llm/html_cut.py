@@ -78,6 +78,15 @@ OUTER_WORDS = frozenset(
 )
 #: Those of them that also hold for an article inside: readers' comments are often marked up as articles.
 COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+#: Words behind the one that says what an element is, and in front of one that says only how it looks.
+PLACE_WORDS = frozenset(
+    "box block list wrapper wrap container inner outer area section bar links link posts articles items item buttons button slot"
+    " unit top bottom left right col column panel text content message icons zone region row grid form group head title body"
+    " first last small large main site page global primary secondary".split()
+)
+MODIFIERS = frozenset("with without no not non has is hide".split())
+#: Elements of running text; a class on one of them inside an article is about that text.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption span em strong b i".split())
 OUTER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split()
 )
@@ -143,6 +152,26 @@ class Block:
     text: str = ""
 
 
+def _outer_token(token: str, in_main: bool) -> str | None:
+    """The word by which a class or id names boilerplate, if it does.
+
+    ``site-footer`` and ``related-posts`` do; ``with-sidebar``, ``ad-free`` and ``header-fixed`` say how something else looks,
+    ``related-work`` names its own matter, and the header of an article belongs to it.
+    """
+    words = _WORDS.findall(token)
+    if not words or words[0] in MODIFIERS:
+        return None
+    named = list(words)
+    while len(named) > 1 and named[-1] in PLACE_WORDS:
+        named.pop()
+    last = named[-1]
+    if last not in OUTER_WORDS:
+        return None
+    if last in ("header", "banner", "masthead") and (in_main or "hero" in words or any(w in MAIN_WORDS - PLACE_WORDS for w in words)):
+        return None
+    return last
+
+
 def _open(tag: str, attributes: str, parent: Node) -> Node:
     node = Node(tag, parent.depth + 1, parent, parent.main, parent.outer, parent.main_word, parent.outer_word, parent.comment, parent.link, parent.holder, parent.form, parent.framed)
     if tag in BLOCKS:
@@ -169,9 +198,13 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
                 if "main" in words or "article" in words:
                     node.main = node.framed = True
             elif tag not in ("body", "html"):
-                node.comment |= any(w in COMMENT_WORDS for w in words)
-                node.outer_word |= any(w in OUTER_WORDS for w in words)
                 node.main_word |= any(w in MAIN_WORDS for w in words)
+                if parent.main and tag in TEXT_TAGS:
+                    continue
+                named = {_outer_token(token, parent.main) for token in value.split()} - {None}
+                node.comment |= any(w in COMMENT_WORDS for w in named)
+                # An article's own classes are about the page it is on, unless they call it a comment.
+                node.outer_word |= node.comment if tag in MAIN_TAGS else bool(named)
     if tag == "form":
         node.form, node.framed = node, False
     return node

@@ -223,3 +223,27 @@ def test_repeated_id_counts_once(spark, monkeypatch):
     assert seen[0][1:] == seen[1][1:]
     G.train(more, labels, rows=10)
     assert len(seen[3][1]) == 10
+
+
+LEAD = "This is the first paragraph of the story, long enough to be read as running text."
+REST = "And this is the second one, which goes on about the same matter for a while."
+OUTER = '<div class="site-header">Home News Sport</div><ul class="main-nav"><li><a href="/">Home</a></li></ul>'
+END = '<div class="related-posts"><a href="/1">Another story</a></div><div class="site-footer">All rights reserved, imprint</div>'
+WORDY = [
+    f'<main class="page header-fixed"><h1>Title</h1><p>{LEAD}</p><p>{REST}</p></main>',
+    f'<div class="content with-sidebar"><article><h1>Title</h1><p>{LEAD}</p><p>{REST}</p></article></div>',
+    f'<div class="story no-comments"><article><h1>Title</h1><p>{LEAD}</p><p>{REST}</p></article></div>',
+    f'<article><div class="body ad-free"><h1>Title</h1><p>{LEAD}</p><p>{REST}</p></div></article>',
+    f'<article><header class="entry-header"><h1>Title</h1></header><p>{LEAD}</p><p>{REST}</p></article>',
+    f'<article><div class="article-header"><h1>Title</h1><p>{LEAD}</p></div><p>{REST}</p></article>',
+    f'<article><div class="hero-banner"><h1>Title</h1></div><p>{LEAD}</p><p>{REST}</p></article>',
+    f'<article><h1>Title</h1><p>{LEAD}</p><p class="legal">{REST}</p></article>',
+    f'<article><h1>Title</h1><p>{LEAD}</p><section class="related-work"><p>{REST}</p></section></article>',
+]
+
+
+@pytest.mark.parametrize("page", WORDY)
+def test_words_in_class_names_do_not_cost_main_text(spark, page):
+    weights = H.train(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    whole = f"<html><body>{OUTER}{page}{END}</body></html>"
+    assert H.main_text(whole, weights) == f"Title {LEAD} {REST}"
