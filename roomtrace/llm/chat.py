@@ -145,18 +145,43 @@ def loss_spans(formatted: Column) -> Column:
     return F.aggregate(pieces, start, step, lambda s: s["spans"])
 
 
+#: What comes before the last writing of a turn, and the writing itself, in the order of ``seq``.
+DRAFT, AGAIN, WRITTEN = 0, 1, 10
+
+
 def as_events(conversations: DataFrame) -> DataFrame:
-    """Each row of a table of turns as one ``message`` event; rows equal in turn stay separate turns."""
+    """The log of a table of turns, as if each had been written while it was streamed; rows equal in turn stay separate turns.
+
+    By a hash of the turn, its text comes in one piece and two deltas, as an edit of a draft, in one piece and a
+    delta after the turn was regenerated, or in deltas alone after that.  All turns share sequence numbers, so an
+    event says nothing without its place: a regenerated turn withdraws what later turns had as drafts.
+    """
     order = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     at = F.struct(F.col("turn"), F.row_number().over(order).alias("copy"))
-    return conversations.select(
-        "conv_id",
-        at.alias("turn"),
-        F.lit(0).cast("bigint").alias("seq"),
-        F.lit("message").alias("kind"),
-        "role",
-        "text",
-    )
+    text, size = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    third = F.ceil(size / 3).cast("int")
+
+    def piece(n: int, to_end: bool = False) -> Column:
+        return F.substr(text, third * n + 1, size if to_end else third)
+
+    def event(seq: int, kind: str, said: Column) -> Column:
+        return F.struct(F.lit(seq).cast("bigint").alias("seq"), F.lit(kind).alias("kind"), said.alias("text"))
+
+    draft = event(DRAFT, "message", F.concat(F.lit("draft of "), piece(1)))
+    again = event(AGAIN, "regenerate", F.lit(""))
+    last = [event(WRITTEN + 1, "delta", piece(1)), event(WRITTEN + 2, "delta", piece(2, True))]
+    ways = [
+        F.array(event(WRITTEN, "message", piece(0)), *last),
+        F.array(draft, event(WRITTEN, "edit", text)),
+        F.array(draft, again, event(WRITTEN, "message", piece(0)), event(WRITTEN + 1, "delta", piece(1, True))),
+        F.array(draft, again, event(WRITTEN, "delta", piece(0)), *last),
+    ]
+    way = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(len(ways)))
+    events = F.when(way == 0, ways[0]).when(way == 1, ways[1]).when(way == 2, ways[2]).otherwise(ways[3])
+    # Copies are numbered before the events are spread out.
+    turns = conversations.select("conv_id", at.alias("turn"), "role", "text")
+    rows = turns.select("conv_id", "turn", "role", F.explode(events).alias("event"))
+    return rows.select("conv_id", "turn", "event.seq", "event.kind", "role", "event.text")
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

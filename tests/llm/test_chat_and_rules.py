@@ -76,6 +76,15 @@ def test_rendering_is_reversible(spark):
         assert plain == [t for role, t in want if role == "assistant"]
 
 
+def test_the_log_of_a_table_has_every_kind_of_event(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], "é" * n + "xyz"[: n % 4]) for c in range(12) for t, n in enumerate([0, 1, 2, 3, 4, 50])]
+    log = chat.as_events(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    shuffled = log.orderBy(F.xxhash64("conv_id", "turn", "seq", "text"))
+    got = {(r.conv_id, r.turn.turn, r.role, r.text) for r in chat.fold(shuffled.repartition(5)).collect()}
+    assert got == set(rows)
+
+
 def test_rows_equal_in_turn_stay(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "assistant", None)]
     log = chat.as_events(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
