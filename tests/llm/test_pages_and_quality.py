@@ -225,6 +225,116 @@ def test_repeated_id_counts_once(spark, monkeypatch):
     assert len(seen[3][1]) == 10
 
 
+
+def loop_scores(x, y, rounds, bins, coarse_bins, most_pairs):
+    """Boosted tables by plain loops over rows, bins and every possible cut: scores of the rows."""
+    import math
+
+    rows, width = range(len(y)), len(x[0])
+
+    def edges(values, n):
+        ordered = sorted(values)
+        marks = sorted({ordered[round(q * (len(ordered) - 1) / n)] for q in range(n + 1)})
+        return [(a + b) / 2 for a, b in zip(marks, marks[1:])]
+
+    def bin_of(value, cuts):
+        return sum(value >= c for c in cuts)
+
+    def gain(g, h):
+        return g * g / (h + G.SHRINK)
+
+    def best_cut(cells):
+        """cells: (g, h) per bin.  The gain of the best cut and where it is; 0 for none."""
+        whole, found = gain(sum(g for g, _ in cells), sum(h for _, h in cells)), (1e-9, 0)
+        for cut in range(1, len(cells)):
+            parts = cells[:cut], cells[cut:]
+            more = sum(gain(sum(g for g, _ in p), sum(h for _, h in p)) for p in parts) - whole
+            if more > found[0] + 1e-12:
+                found = (more, cut)
+        return found
+
+    def leaf(cells):
+        return sum(g for g, _ in cells) / (sum(h for _, h in cells) + G.SHRINK)
+
+    def ranges(n, cut):
+        return [r for r in ((0, cut), (cut, n)) if r[1] > r[0]]
+
+    def shallow(cells):
+        out = [0.0] * len(cells)
+        for a, b in ranges(len(cells), best_cut(cells)[1]):
+            for c, d in ranges(b - a, best_cut(cells[a:b])[1]):
+                out[a + c : a + d] = [leaf(cells[a + c : a + d])] * (d - c)
+        return out
+
+    def pairwise(cells):
+        """cells[i][j]: (g, h).  The best gain and a value per cell."""
+        flat = [c for row in cells for c in row]
+        best = (0.0, [[0.0] * len(cells[0]) for _ in cells])
+        for cut in range(1, len(cells)):
+            out, more = [[0.0] * len(cells[0]) for _ in cells], -gain(sum(g for g, _ in flat), sum(h for _, h in flat))
+            for a, b in ranges(len(cells), cut):
+                columns = [(sum(cells[i][j][0] for i in range(a, b)), sum(cells[i][j][1] for i in range(a, b))) for j in range(len(cells[0]))]
+                for c, d in ranges(len(columns), best_cut(columns)[1]):
+                    more += gain(sum(g for g, _ in columns[c:d]), sum(h for _, h in columns[c:d]))
+                    for i in range(a, b):
+                        out[i][c:d] = [leaf(columns[c:d])] * (d - c)
+            if more > best[0]:
+                best = more, out
+        return best
+
+    share = sum(y) / len(y)
+    total = [math.log(share / (1 - share))] * len(y)
+    fine = [[bin_of(x[r][j], edges([row[j] for row in x], bins)) for r in rows] for j in range(width)]
+    far = [[bin_of(x[r][j], edges([row[j] for row in x], coarse_bins)) for r in rows] for j in range(width)]
+    sizes = [len(edges([row[j] for row in x], coarse_bins)) + 1 for j in range(width)]
+
+    def slope(r):
+        p = 1 / (1 + math.exp(-total[r]))
+        return y[r] - p, p * (1 - p)
+
+    def summed(places, n):
+        slopes = [slope(r) for r in rows]
+        return [(sum(s[0] for s, at in zip(slopes, places) if at == b), sum(s[1] for s, at in zip(slopes, places) if at == b)) for b in range(n)]
+
+    def grid(a, b):
+        places = [(far[a][r], far[b][r]) for r in rows]
+        slopes = [slope(r) for r in rows]
+        return [
+            [tuple(sum(s[k] for s, at in zip(slopes, places) if at == (i, j)) for k in (0, 1)) for j in range(sizes[b])] for i in range(sizes[a])
+        ]
+
+    for _ in range(rounds):
+        for j in range(width):
+            table = shallow(summed(fine[j], max(fine[j]) + 1))
+            for r in rows:
+                total[r] += G.STEP * table[fine[j][r]]
+    gains = sorted(((pairwise(grid(a, b))[0], a, b) for a in range(width) for b in range(a + 1, width)), reverse=True)
+    chosen = [(a, b) for found, a, b in gains[:most_pairs] if found > 0]
+    for _ in range(rounds // 5):
+        for a, b in chosen:
+            table = pairwise(grid(a, b))[1]
+            for r in rows:
+                total[r] += G.STEP * table[far[a][r]][far[b][r]]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+# Two pairs of which no cut of the second feature gains anything are equal, so pairs are compared one at a time.
+@pytest.mark.parametrize("width, pairs", [(3, 0), (2, 1)])
+@pytest.mark.parametrize("seed", range(4))
+def test_model_against_plain_loops(monkeypatch, seed, width, pairs):
+    import random
+
+    for name, value in {"ROUNDS": 15, "BINS": 5, "PAIR_BINS": 3, "PAIRS": pairs}.items():
+        monkeypatch.setattr(G, name, value)
+    rnd = random.Random(seed)
+    # The number of rows lets quantiles fall on rows.
+    x = [[rnd.random(), rnd.random() ** 2, rnd.choice([0.0, 1.0, 2.0])][:width] for _ in range(61)]
+    y = [float((r[0] > 0.5) != (r[1] > 0.3) or rnd.random() > 0.8) for r in x]
+    model = G.fit(np.array(x), np.array(y))
+    assert model.score(np.array(x)) == pytest.approx(loop_scores(x, y, 15, 5, 3, pairs), abs=1e-9)
+    assert len(model.pairs) == pairs
+
+
 LEAD = "This is the first paragraph of the story, long enough to be read as running text."
 REST = "And this is the second one, which goes on about the same matter for a while."
 OUTER = '<div class="site-header">Home News Sport</div><ul class="main-nav"><li><a href="/">Home</a></li></ul>'
