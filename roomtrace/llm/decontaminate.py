@@ -27,7 +27,7 @@ are ignored, or kept by ``keep``.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from roomtrace.llm.words import texts
 from roomtrace.session import work_dir
 
 WINDOW = 13
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Free positions between documents; ``slop`` must be smaller.
 GAP = 64
 BLOCK_BYTES = 16 << 20
@@ -130,7 +130,7 @@ def windows_of(items: list[tuple[str, str | None]], size: int = WINDOW) -> list[
 class Postings:
     """The postings of one segment, as far as test items use them."""
 
-    def __init__(self, row: dict, wanted: set[bytes]) -> None:
+    def __init__(self, row: dict, wanted: Container[bytes]) -> None:
         counts = np.asarray(row["counts"].values)
         gaps = unpack_ids(row["control"].as_buffer(), row["data"].as_buffer(), int(counts.sum()) if len(counts) else 0)
         ends = np.cumsum(counts)
@@ -205,7 +205,20 @@ class _Search:
         if slop >= GAP // 2:
             raise ValueError(f"slop must be below {GAP // 2}")
         self.windows, self.slop = windows, slop
-        self.wanted = {w for _, window in windows for w in window}
+        self.wanted: dict[bytes, int] = {}
+        for _, window in windows:
+            for w in window:
+                self.wanted.setdefault(w, len(self.wanted))
+        # Words of the windows by number; a shorter one repeats its last word.
+        longest = max((len(window) for _, window in windows), default=0)
+        numbers = [self.wanted[w] for _, window in windows for w in window + window[-1:] * (longest - len(window))]
+        self.numbers = np.array(numbers, np.int32).reshape(len(windows), longest)
+
+    def possible(self, postings: "Postings") -> list[int]:
+        """Windows all of whose words are in the segment."""
+        there = np.zeros(len(self.wanted), bool)
+        there[[self.wanted[w] for w in postings.lists]] = True
+        return np.flatnonzero(there[self.numbers].all(axis=1)).tolist() if len(self.windows) else []
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +230,8 @@ class _Search:
         sizes = np.asarray(row["words"].values)
         begins = np.cumsum(sizes + GAP) - sizes - GAP
         spans: dict[int, dict[str, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for item, window in self.windows:
+        for at in self.possible(postings):
+            item, window = self.windows[at]
             for start in postings.starts(window, self.slop).tolist():
                 doc = int(np.searchsorted(begins, start + self.slop, "right")) - 1
                 first = start - int(begins[doc])

@@ -417,7 +417,10 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """One row of each class, the one with the least id; the columns of ``docs`` stay as they are."""
+    """One row of each class, the one with the least id; the columns of ``docs`` stay as they are.
+
+    The rows come in partitions of about equal size, whatever is left where.
+    """
     found = _kept(classes(docs), "classes")
     key = F.struct(F.col("doc_id"), F.xxhash64("text"))
     own = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
@@ -432,7 +435,7 @@ def keep(docs: DataFrame) -> DataFrame:
     again = keys(twice)
     return left.join(again, "_key", "left_anti").select("_row.*").unionByName(
         left.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
-    )
+    ).hint("rebalance")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,9 +179,12 @@ def apply(judged: DataFrame, chosen: DataFrame, stratum: str = "lang") -> DataFr
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` (``doc_id, lang, text`` and others) that pass; its columns stay as they are."""
-    learned = cutoffs(measures(docs.join(labels.select("doc_id"), "doc_id", "left_semi").select("doc_id", "lang", "text")), labels)
-    own = docs.select(F.struct(*docs.columns).alias("_row"), *(F.col(c) for c in ("lang", "text")))
-    return apply(measures(own), learned).where("kept").select("_row.*")
+    path = work_dir(docs.sparkSession, "measured")
+    # Each text is measured once; the cutoffs and the verdicts read the numbers.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "lang", "text")
+    measures(rows).drop("text").write.parquet(path)
+    judged = docs.sparkSession.read.parquet(path)
+    return apply(judged, cutoffs(judged, labels)).where("kept").select("_row.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
