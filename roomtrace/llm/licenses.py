@@ -84,15 +84,27 @@ def _bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _matches(words: Column, size: int, classes: dict[int, dict[str, list[str]]]) -> Column:
-    """Matches of templates with shingles of ``size`` words, by their number of shingles."""
+def _hashed(spark: SparkSession, templates: dict[str, list[str]]) -> dict[str, tuple[list[int], list[int]]]:
+    """Per template the hashes of its shingles and its min-hash keys, one per band, as literals for the plan."""
+
+    def row(name: str, shingles: list[str]) -> Column:
+        own = F.array(*(F.xxhash64(F.lit(s)) for s in dict.fromkeys(shingles)))
+        keys = F.array(*(F.xxhash64(F.array_min(permuted(own, b)), F.lit(b)) for b in range(BANDS)))
+        return F.struct(F.lit(name).alias("name"), own.alias("own"), keys.alias("keys"))
+
+    rows = spark.range(1).select(F.explode(F.array(*(row(n, s) for n, s in templates.items()))).alias("t")).select("t.*")
+    return {r.name: (list(r.own), list(r["keys"])) for r in rows.collect()}
+
+
+def _matches(words: Column, size: int, classes: dict[int, dict[str, tuple[list[int], list[int]]]]) -> Column:
+    """Matches of templates (hashes and keys) with shingles of ``size`` words, by their number of shingles."""
     last = F.size(words) - size + 1
     hashes = F.transform(
         F.slice(words, 1, F.greatest(last, F.lit(0))),
         lambda w, i: F.xxhash64(F.concat_ws(" ", w, *(F.get(words, i + k) for k in range(1, size)))),
     )
 
-    def of_class(hashes: Column, minima: Column, m: int, templates: dict[str, list[str]]) -> Column:
+    def of_class(hashes: Column, minima: Column, m: int, templates: dict[str, tuple[list[int], list[int]]]) -> Column:
         step = stride(m)
         places = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)), F.lit(step))
 
@@ -104,11 +116,8 @@ def _matches(words: Column, size: int, classes: dict[int, dict[str, list[str]]])
             ),
         )
 
-        def of_template(name: str, shingles: list[str], found: Column) -> Column:
-            own = F.array(*(F.xxhash64(F.lit(s)) for s in dict.fromkeys(shingles)))
-            keys = F.array(
-                *(F.xxhash64(F.array_min(permuted(own, b)), F.lit(b)) for b in range(BANDS))
-            )
+        def of_template(name: str, hashed: tuple[list[int], list[int]], found: Column) -> Column:
+            own, keys = (F.array(*(F.lit(h).cast("bigint") for h in part)) for part in hashed)
             retrieved = F.filter(found, lambda w: F.arrays_overlap(w["keys"], keys))
             measured = F.transform(
                 retrieved,
@@ -150,6 +159,9 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
     none = F.array().cast(_MATCHES)
     if not sizes:
         return docs.select("doc_id", none.alias("matches"))
+    shingled = {n: s for classes in sizes.values() for own in classes.values() for n, s in own.items()}
+    hashed = _hashed(docs.sparkSession, shingled)
+    keyed = {size: {m: {n: hashed[n] for n in own} for m, own in classes.items()} for size, classes in sizes.items()}
     low = F.lower(text_or_empty())
     wanted = sorted({w for t in templates.values() for w in probes(t)})
 
@@ -162,7 +174,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
     words = F.regexp_extract_all(low, F.lit(WORD_CLASS), F.lit(0))
     found = _bound(
         words,
-        lambda w: F.concat(*(F.coalesce(_matches(w, size, classes), none) for size, classes in sizes.items())),
+        lambda w: F.concat(*(F.coalesce(_matches(w, size, classes), none) for size, classes in keyed.items())),
     )
     return docs.select("doc_id", F.when(_bound(low, probed), found).otherwise(none).cast(_MATCHES).alias("matches"))
 
