@@ -45,6 +45,8 @@ from roomtrace.session import work_dir
 
 #: Ids in a block, about.
 BLOCK = 1 << 17
+#: Number of the row that holds the counts of a task's ids, behind its blocks.
+TALLY = -1
 END_ID = 1
 
 # --- the code of a block --------------------------------------------------
@@ -141,7 +143,7 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(path)
-        table = WordTable(Words(coder), 300_000)
+        table = WordTable(Words(coder), 400_000)
         _TOKENIZERS.clear()
         _TOKENIZERS[path] = coder, table, [t.content for t in coder.get_added_tokens_decoder().values()]
     return _TOKENIZERS[path]
@@ -162,21 +164,28 @@ def token_ids(held: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stage(path: str, end_id: int, batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Blocks of ids, then one row, of block ``TALLY``, whose ``counts`` are how often each id occurs in them."""
     part = TaskContext.get().partitionId()
     block, start, held_ids, held_docs, held_counts = 0, 0, [], [], []
+    tally = np.zeros(max(tokenizer(path)[0].get_vocab_size(), end_id + 1), np.int64)
+    narrow = np.dtype("<u2" if len(tally) <= 1 << 16 else "<u4")
 
-    def flush() -> pa.RecordBatch:
-        nonlocal block, start
-        flat = np.concatenate(held_ids).astype("<u4")
-        out = pa.RecordBatch.from_arrays(
+    def row(block: int, docs: list, counts: np.ndarray, ids: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()),
-                pa.array([[d for x in held_docs for d in x]], pa.list_(kind)),
-                pa.array([np.concatenate(held_counts)], pa.list_(pa.int64())),
-                pa.array([flat.tobytes()], pa.binary()),
+                pa.array([docs], pa.list_(kind)), pa.array([counts], pa.list_(pa.int64())), pa.array([ids], pa.binary()),
             ],
             ["part", "block", "start", "doc_ids", "counts", "ids"],
-        )
+        )
+
+    def flush() -> pa.RecordBatch:
+        nonlocal block, start, tally
+        flat = np.concatenate(held_ids)
+        found = np.bincount(flat, minlength=len(tally))
+        found[: len(tally)] += tally
+        tally = found
+        out = row(block, [d for x in held_docs for d in x], np.concatenate(held_counts), flat.astype(narrow).tobytes())
         block, start = block + 1, start + len(flat)
         for x in (held_ids, held_docs, held_counts):
             x.clear()
@@ -196,6 +205,14 @@ def _stage(path: str, end_id: int, batches: Iterator[pa.RecordBatch], kind: pa.D
                 size = 0
     if held_ids:
         yield flush()
+    yield row(TALLY, [], tally, b"")
+
+
+def _staged_ids(ids: pa.BinaryScalar, counts: pa.ListScalar) -> np.ndarray:
+    """Ids of a block as numbers; they were staged in two bytes each where the vocabulary allows it."""
+    raw = ids.as_buffer()
+    n = int(np.asarray(counts.values).sum())
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None:
@@ -210,20 +227,22 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
         lambda batches: _stage(path, end_id, batches, arrow_kind),
         f"part int, block int, start bigint, doc_ids array<{kind}>, counts array<bigint>, ids binary",
     ).write.parquet(staged)
-    stage = spark.read.parquet(staged)
+    staging = spark.read.parquet(staged)
+    stage = staging.where(F.col("block") != TALLY)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            for counts in batch.column(0):
+                found = np.asarray(counts.values)
+                total = np.pad(total, (0, max(0, len(found) - len(total))))
                 total[: len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    tallies = for_python(stage.select("ids")).mapInArrow(counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    # A row per task that staged, summed where they are read.
+    tally = staging.where(F.col("block") == TALLY).select("counts")
+    tallies = for_python(tally).mapInArrow(counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     # One row per entry of the vocabulary that occurs.
     ranked = [r.id for r in sorted(tallies.collect(), key=lambda r: (-r.n, r.id))]
     spark.createDataFrame(list(enumerate(ranked)), "rank bigint, id bigint").write.parquet(f"{folder}/ranks")
@@ -232,7 +251,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            streams = [pack_ids(rank_of[np.frombuffer(ids.as_buffer(), "<u4")]) for ids in batch.column("ids")]
+            streams = [pack_ids(rank_of[_staged_ids(ids, n)]) for ids, n in zip(batch.column("ids"), batch.column("counts"))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array([c for c, _ in streams], pa.binary()), pa.array([d for _, d in streams], pa.binary())],
                 [*batch.schema.names[:5], "control", "data"],
