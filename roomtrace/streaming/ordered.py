@@ -13,17 +13,21 @@ progress of the query (``numRowsDroppedByWatermark``).
 A *mark* is a row with a time and nothing else.  It says that all readings up to its
 time less ``delay`` have arrived, and moves the watermark while houses are silent.
 
-One group is worked off by one task per batch.  ``parts`` (a column) spreads the
-openings of a hot group by event id; what closes them goes to every part.  State lies
-in RocksDB.
+Groups share buckets, by hash: a bucket is what Spark groups by, and its groups are
+matched together, in columns.  State and timers are then touched a few times per
+bucket and batch, not per reading.  A bucket is worked off by one task per batch;
+their number is fixed for the life of a checkpoint.  ``parts`` (a column) spreads the
+openings of a hot group over buckets by event id; what closes them goes to every
+part.  State lies in RocksDB, as Arrow batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,8 +36,10 @@ from roomtrace.functions.expressions import from_micros, micros, presence_is
 from roomtrace.operators.splitting import salt_of
 from roomtrace.session import ship_package, use_rocksdb
 
-Reading = tuple[int, bool, str | None, int]
-Found = list[tuple]
+#: Buckets that the groups share, unless the caller says otherwise.
+BUCKETS = 1024
+#: Readings of a batch in state.
+STORED_ROWS = 50_000
 
 
 def is_mark() -> Column:
@@ -45,7 +51,7 @@ def is_mark() -> Column:
 
 
 class InTimeOrder(StatefulProcessor):
-    """Holds readings ``us, opens, label, event_id`` of a group back until the watermark has passed them."""
+    """Holds readings ``us, opens, label, event_id`` of the groups of a bucket back until the watermark has passed them."""
 
     #: Columns of the group that are part of the result, and of what ``release`` finds.
     KEYS: tuple[str, ...] = ()
@@ -53,56 +59,66 @@ class InTimeOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        reading = "us bigint, opens boolean, label string, event_id bigint"
-        self.waiting = handle.getListState("waiting", reading)
-        self.open = handle.getListState("open", reading)
+        self.waiting = handle.getListState("waiting", "readings binary")
+        self.open = handle.getListState("open", "readings binary")
+        self.columns = [*self.KEYS, "us", "opens", "label", "event_id"]
+        self.released: set[tuple] = set()
 
-    def release(self, open_: list[Reading], ready: list[Reading], passed: int) -> tuple[Found, list[Reading]]:
-        """What the next readings, in time order, find, and what is open after them; no earlier ones will follow."""
+    def release(self, open_: pd.DataFrame, ready: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """What the next readings find, and what is open after them; no earlier ones will follow."""
         raise NotImplementedError
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new: list[Reading] = []
+        first = None
         for frame in rows:
-            frame = frame[~frame["mark"]]
-            new += zip(*(frame[c].tolist() for c in ("us", "opens", "label", "event_id")))
-        if new:
-            self.waiting.appendList(new)
-            self._wake(min(r[0] for r in new))
+            new = frame.loc[~frame["mark"].astype(bool), self.columns]
+            if len(new):
+                self.waiting.appendList(_packed(new))
+                least = int(new["us"].min())
+                first = least if first is None else min(first, least)
+        if first is not None:
+            self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # The first timer of a batch releases all that the others were set for.
+        if key in self.released:
+            return
+        self.released.add(key)
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        before = [tuple(r) for r in self.open.get()] if self.open.exists() else []
-        ready = sorted((r for r in waiting if r[0] <= passed), key=_in_order)
-        found, after = self.release(before, ready, passed)
-        if ready:
-            rest = [r for r in waiting if r[0] > passed]
+        waiting, before = self._kept(self.waiting), self._kept(self.open)
+        is_ready = waiting["us"].to_numpy("int64") <= passed
+        found, after = self.release(before, waiting[is_ready], passed)
+        if is_ready.any():
+            rest = waiting[~is_ready]
             self._keep(self.waiting, rest)
-            if rest:
-                self._wake(min(r[0] for r in rest))
-        if len(after) != len(before) or ready:
+            if len(rest):
+                self._wake(int(rest["us"].min()))
+        if len(after) != len(before) or is_ready.any():
             self._keep(self.open, after)
         if (when := self.expires(after)) is not None:
             self._wake(when)
-        if found:
-            frame = pd.DataFrame(found, columns=list(self.FOUND))
-            for i, name in enumerate(self.KEYS):
-                frame.insert(i, name, key[i])
-            yield frame
+        if len(found):
+            yield found[[*self.KEYS, *self.FOUND]]
 
-    def expires(self, open_: list[Reading]) -> int | None:
+    def expires(self, open_: pd.DataFrame) -> int | None:
         """When open readings should be looked at again though nothing arrives."""
         return None
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(us // 1000 + 1)
 
+    def _kept(self, state) -> pd.DataFrame:
+        if not state.exists():
+            return pd.DataFrame({c: [] for c in self.columns})
+        stored = [pa.ipc.open_stream(r[0]).read_all() for r in state.get()]
+        # A column that is null in one batch has no type there.
+        return pa.concat_tables(stored, promote_options="default").to_pandas()
+
     @staticmethod
-    def _keep(state, rows: list[Reading]) -> None:
-        if rows:
-            state.put(rows)
+    def _keep(state, rows: pd.DataFrame) -> None:
+        if len(rows):
+            state.put(_packed(rows))
         else:
             state.clear()
 
@@ -110,9 +126,40 @@ class InTimeOrder(StatefulProcessor):
         pass
 
 
-def _in_order(r: Reading) -> tuple:
-    # Nulls come first, as in Spark.
-    return r[0], r[2] is not None, r[2] or "", r[3]
+def _packed(rows: pd.DataFrame) -> list[tuple[bytes]]:
+    found = []
+    for start in range(0, len(rows), STORED_ROWS):
+        batch = pa.RecordBatch.from_pandas(rows.iloc[start : start + STORED_ROWS], preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        found.append((sink.getvalue().to_pybytes(),))
+    return found
+
+
+def _together(open_: pd.DataFrame, ready: pd.DataFrame) -> pd.DataFrame:
+    """All rows, or those of one frame as they are: an empty frame has no types."""
+    frames = [f for f in (open_, ready) if len(f)]
+    return pd.concat(frames, ignore_index=True) if frames else ready
+
+
+def _ranked(values: pd.Series) -> np.ndarray:
+    """Numbers in the order of ``values``.  Nulls come first, as in Spark."""
+    return pd.factorize(values, sort=True)[0]
+
+
+def _next(flags: np.ndarray) -> np.ndarray:
+    """For each place the first later one with a flag, or the length."""
+    n = len(flags)
+    later = np.append(np.where(flags, np.arange(n), n)[1:], n)
+    return np.minimum.accumulate(later[::-1])[::-1]
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a column differs from the place before."""
+    found = np.ones(len(columns[0]), dtype=bool)
+    found[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return found
 
 
 class VisitsInOrder(InTimeOrder):
@@ -125,22 +172,27 @@ class VisitsInOrder(InTimeOrder):
         self.longest = longest
 
     def release(self, open_, ready, passed):
-        found: Found = []
-        entries = list(open_)
-        for us, readings in groupby(ready, key=lambda r: r[0]):
-            readings = list(readings)
-            first_exit = next((r for r in readings if not r[1]), None)
-            if first_exit is not None:
-                # All entries so far are of earlier instants.
-                found += [(r[3], r[0], us, first_exit[2]) for r in entries if self.longest is None or us - r[0] <= self.longest]
-                entries = []
-            entries += [r for r in readings if r[1]]
+        rows = _together(open_, ready)
+        if not len(rows):
+            return rows, rows
+        opens = rows["opens"].to_numpy(bool)
+        group = rows.groupby(list(self.KEYS), sort=False).ngroup().to_numpy()
+        # The exits of an instant come before its entries, which they don't close.
+        order = np.lexsort((rows["event_id"], _ranked(rows["label"]), opens, rows["us"], group))
+        rows, group, opens = rows.iloc[order], group[order], opens[order]
+        exit_ = _next(~opens)
+        at = np.minimum(exit_, len(rows) - 1)
+        closed = opens & (exit_ < len(rows)) & (group[at] == group)
+        us, label = rows["us"].to_numpy("int64"), rows["label"].to_numpy(object)
+        short = closed if self.longest is None else closed & (us[at] - us <= self.longest)
+        found = rows[short].rename(columns={"us": "entry_us"}).assign(exit_us=us[at][short], exit_device=label[at][short])
+        waits = opens & ~closed
         if self.longest is not None:
-            entries = [r for r in entries if r[0] + self.longest > passed]
-        return found, entries
+            waits &= us + self.longest > passed
+        return found, rows[waits]
 
     def expires(self, open_):
-        return None if self.longest is None or not open_ else open_[0][0] + self.longest
+        return None if self.longest is None or not len(open_) else int(open_["us"].min()) + self.longest
 
 
 class MovementsInOrder(InTimeOrder):
@@ -153,21 +205,24 @@ class MovementsInOrder(InTimeOrder):
     FOUND = ("event_id", "from_area", "to_area", "from_us", "to_us")
 
     def release(self, open_, ready, passed):
-        found: Found = []
-        waiting: dict[str, list[Reading]] = {}
-        for r in open_:
-            waiting.setdefault(r[2], []).append(r)
-        for us, readings in groupby(ready, key=lambda r: r[0]):
-            readings = list(readings)
-            areas = sorted({r[2] for r in readings})
-            for area in list(waiting):
-                to = next((a for a in areas if a != area), None)
-                if to is not None:
-                    found += [(r[3], area, to, r[0], us) for r in waiting.pop(area)]
-            for r in readings:
-                if r[1]:
-                    waiting.setdefault(r[2], []).append(r)
-        return found, sorted((r for rows in waiting.values() for r in rows), key=_in_order)
+        rows = _together(open_, ready)
+        if not len(rows):
+            return rows, rows
+        group = rows.groupby(list(self.KEYS), sort=False).ngroup().to_numpy()
+        area = _ranked(rows["label"])
+        order = np.lexsort((rows["event_id"], area, rows["us"], group))
+        rows, group, area = rows.iloc[order], group[order], area[order]
+        us, last = rows["us"].to_numpy("int64"), len(rows) - 1
+        # The next instant if it begins in another area, else the first change of area in or after it.
+        instant = _next(_changes(group, us))
+        begins = np.minimum(instant, last)
+        to = np.where(area[begins] != area, instant, _next(_changes(group, area))[begins])
+        at = np.minimum(to, last)
+        meets = (instant <= last) & (group[begins] == group) & (to <= last) & (group[at] == group)
+        opens = rows["opens"].to_numpy(bool)
+        done = opens & meets
+        found = rows[done].rename(columns={"us": "from_us", "label": "from_area"})
+        return found.assign(to_area=rows["label"].to_numpy(object)[at][done], to_us=us[at][done]), rows[opens & ~meets]
 
 
 def _watched(stream: DataFrame, delay: str) -> DataFrame:
@@ -175,7 +230,7 @@ def _watched(stream: DataFrame, delay: str) -> DataFrame:
     return stream.withColumn("at", F.timestamp_micros(micros(F.col("event_ts")))).withWatermark("at", delay)
 
 
-def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor: InTimeOrder, found: str) -> DataFrame:
+def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor: InTimeOrder, found: str, buckets: int) -> DataFrame:
     """``rows`` with ``opens`` and ``label``, held back and matched; openings lie in one part, the others in all."""
     use_rocksdb(rows.sparkSession)
     ship_package(rows.sparkSession)
@@ -184,8 +239,10 @@ def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor:
         parts = parts.cast("bigint")
         every = F.sequence(salt, F.coalesce(parts, F.lit(1)) - 1)
         salt = F.explode(F.when(F.col("opens"), F.array(salt_of(F.col("event_id"), parts))).otherwise(every))
-    grouped = rows.select(
-        *keys,
+    # Marks have no group; a null would make numbers of other groups floats.
+    group = [F.coalesce(k, F.lit("0").cast(rows.schema[k].dataType)).alias(k) for k in keys]
+    salted = rows.select(
+        *group,
         "at",
         "mark",
         "opens",
@@ -193,13 +250,21 @@ def _matched(rows: DataFrame, keys: list[str], parts: Column | None, processor:
         F.coalesce("event_id", F.lit(-1).cast("bigint")).alias("event_id"),
         micros(F.col("event_ts")).alias("us"),
         salt.alias("salt"),
-    ).groupBy(*keys, "salt")
+    )
+    # Parts of a group follow each other, so they lie apart.
+    bucket = F.pmod(F.pmod(F.xxhash64(*keys), F.lit(buckets)) + F.col("salt"), F.lit(buckets))
+    grouped = salted.withColumn("bucket", bucket).groupBy("bucket")
     types = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     return grouped.transformWithStateInPandas(processor, f"{types}, {found}", "Append", "EventTime")
 
 
 def visits_in_stream(
-    stream: DataFrame, delay: str, areas: list[str] | None = None, longest: int | None = None, parts: Column | None = None
+    stream: DataFrame,
+    delay: str,
+    areas: list[str] | None = None,
+    longest: int | None = None,
+    parts: Column | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """What ``operators.visits.visits`` finds in all readings of the stream: (house_id, area, event_id, entry_ts, exit_ts, exit_device).
 
@@ -217,7 +282,7 @@ def visits_in_stream(
     )
     processor = VisitsInOrder(None if longest is None else longest * 1_000_000)
     found = "event_id bigint, entry_us bigint, exit_us bigint, exit_device string"
-    return _matched(rows, ["house_id", "area"], parts, processor, found).select(
+    return _matched(rows, ["house_id", "area"], parts, processor, found, buckets).select(
         "house_id",
         "area",
         "event_id",
@@ -227,7 +292,7 @@ def visits_in_stream(
     )
 
 
-def movements_in_stream(stream: DataFrame, delay: str, parts: Column | None = None) -> DataFrame:
+def movements_in_stream(stream: DataFrame, delay: str, parts: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
     """What ``operators.movement.movements`` finds in all readings of the stream: (house_id, event_id, from_area, to_area, from_ts, to_ts)."""
     wanted = presence_is(S.ON) & F.col("house_id").isNotNull() & F.col("area").isNotNull()
     rows = (
@@ -242,7 +307,7 @@ def movements_in_stream(stream: DataFrame, delay: str, parts: Column | None = No
         closes = F.when(~F.col("mark") & (F.coalesce(parts, F.lit(1)) > 1), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.col("opens")))
         rows = rows.select(*[c for c in rows.columns if c != "opens"], F.explode(closes).alias("opens"))
     found = "event_id bigint, from_area string, to_area string, from_us bigint, to_us bigint"
-    return _matched(rows, ["house_id"], parts, MovementsInOrder(), found).select(
+    return _matched(rows, ["house_id"], parts, MovementsInOrder(), found, buckets).select(
         "house_id",
         "event_id",
         "from_area",

@@ -131,6 +131,28 @@ def test_longest_visit_bounds_the_state(spark, tmp_path):
     assert state_rows(progress)[-1] == 0
 
 
+@pytest.mark.parametrize("name", JOBS)
+@pytest.mark.parametrize("parts", [None, 3])
+def test_many_houses_share_few_buckets(spark, tmp_path, name, parts):
+    streamed, whole = JOBS[name]
+    rows = random_rows(seed=75, n=900, houses=300, span=400)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    # Numbers that a float can't hold.
+    number = (F.substring("house_id", 2, 9).cast("bigint") + 2**60 + 1).alias("house_id")
+    numbered = lambda part: (d := table(spark, part)).select(*[number if c == "house_id" else c for c in d.columns])
+    for part in late_parts(rows, 3, 75):
+        put(numbered(part), source)
+    put(numbered([(None, None, at(400 + 3 * DELAY), None, None, None, None)]), source)
+    df = numbered(rows)
+    stream = stream_of(spark, source, df)
+    found = streamed(stream, f"{DELAY} minutes", parts=None if parts is None else F.when(F.col("house_id") % 2 == 0, parts), buckets=4)
+    progress = run(spark, found, out)
+    want = whole(df)
+    assert rows_of(spark.read.parquet(f"{out}/out").select(*want.columns)) == rows_of(want)
+    # Keys and timers of state go by buckets, not by houses or readings.
+    assert 0 < max(state_rows(progress)) < 100
+
+
 @pytest.mark.parametrize("snapshot", [2, 20])
 def test_a_total_for_every_reading(spark, tmp_path, snapshot):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
