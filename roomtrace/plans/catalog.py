@@ -191,13 +191,18 @@ LARGE_CHANGES = 100_000
 
 
 def _large_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Script files of whole houses, read in splits."""
+    """Script files of whole houses, read in splits.
+
+    The root names the house, so that all files may lie in one folder: a folder for each takes longer to make and to list than to read.
+    """
     path = work_dir(use_utc(spark), "large-scripts")
     scripts = to_documents(device_events(spark, sf_dir), changes=LARGE_CHANGES)
-    filled = F.concat("value", F.repeat(F.lit(" "), files.MIN_BYTES))
-    scripts.select(*DOC_KEYS, filled.alias("value")).write.partitionBy(*DOC_KEYS).text(path)
+    root = F.concat(F.lit('<behavior id="'), F.concat_ws("/", *[F.col(k).cast("string") for k in DOC_KEYS]), F.lit('" '))
+    named = F.replace("value", F.lit("<behavior "), root)
+    filled = F.concat(named, F.repeat(F.lit(" "), files.MIN_BYTES))
+    scripts.select(filled.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     changes = large.large_scripts(spark, path).changes
-    keys = [F.regexp_extract("file", f"/{k}=([0-9]+)/", 1).cast("bigint").alias(k) for k in DOC_KEYS]
+    keys = [F.split("id", "/")[i].cast("bigint").alias(k) for i, k in enumerate(DOC_KEYS)]
     return changes.select(*keys, "pos", "event_ts", "id_device", "property_device", "value_property_device", "area")
 
 

@@ -28,14 +28,15 @@ from roomtrace.sources.files import gate
 DELAY, CHANGE, ZONE = "delay", "set-device-property", "move-device-zone"
 ROOT, END, MARK = "behavior", "/behavior", "mark"
 ATTRIBUTES = (
-    "_startdate string, _value string, _unit string, _deviceId string, _property string, _zoneId string, _corrupt_record string"
+    "_startdate string, _id string, _value string, _unit string, _deviceId string, _property string, _zoneId string, _corrupt_record string"
 )
 READ = "|".join([DELAY, CHANGE, ZONE, ROOT])
 
 
 @dataclass(frozen=True)
 class LargeScripts:
-    """``changes``: (file, pos, delay, elapsed, event_ts, id_device, property_device, value_property_device, area);
+    """``changes``: (file, id, pos, delay, elapsed, event_ts, id_device, property_device, value_property_device, area),
+    where ``id`` is that of the root, NULL if it has none;
     ``rejected``: (file, reason); ``zone_conflicts``: changes of devices without a zone or with several, as the row parser has them.
     """
 
@@ -94,6 +95,7 @@ def _parsed(tags: DataFrame, legacy_other_unit: bool, strict: bool) -> DataFrame
         ).alias("broken"),
         (gap & F.lit(strict)).alias("gap"),
         F.when(F.col("kind") == ROOT, parse_start_ts(F.col("x._startdate"))).alias("start_ts"),
+        F.when(F.col("kind") == ROOT, F.col("x._id")).alias("id"),
         F.when(F.col("kind") == DELAY, delay_seconds(amount, text("_unit"), legacy_other_unit)).alias("delay"),
         text("_deviceId").alias("device"),
         text("_property").alias("property"),
@@ -135,7 +137,7 @@ def _numbered(tags: DataFrame) -> DataFrame:
 
 
 def _files(numbered: DataFrame) -> DataFrame:
-    """(file, start_ts, reason), one row per file."""
+    """(file, id, start_ts, reason), one row per file."""
     live = F.col("kind") != MARK
     kind = lambda k: F.col("kind") == k
     place = F.struct("block", "at")
@@ -145,7 +147,7 @@ def _files(numbered: DataFrame) -> DataFrame:
         F.max(F.col("gap") & live).alias("gap"),
         F.count(F.when(kind(ROOT), 1)).alias("roots"),
         F.count(F.when(kind(END), 1)).alias("closed"),
-        F.min(F.when(kind(ROOT), F.struct(place.alias("place"), "start_ts"))).alias("start"),
+        F.min(F.when(kind(ROOT), F.struct(place.alias("place"), "start_ts", "id"))).alias("start"),
         F.max_by("kind", F.when(live & (F.col("kind") != ROOT), place)).alias("last"),
         F.count(F.when(kind(DELAY), 1)).alias("delays"),
         F.count(F.when(kind(DELAY), F.col("delay"))).alias("good"),
@@ -160,7 +162,7 @@ def _files(numbered: DataFrame) -> DataFrame:
         .when(F.col("delays") < F.col("changes"), "fewer delays than changes")
         .when(F.col("gap"), "missing attribute")
     )
-    return found.select("file", F.col("start.start_ts").alias("start_ts"), reason.alias("reason"))
+    return found.select("file", F.col("start.id").alias("id"), F.col("start.start_ts").alias("start_ts"), reason.alias("reason"))
 
 
 def large_scripts(spark: SparkSession, path: str, legacy_other_unit: bool = False, strict: bool = False) -> LargeScripts:
@@ -176,22 +178,23 @@ def large_scripts(spark: SparkSession, path: str, legacy_other_unit: bool = Fals
     offsets = sums.join(files.where("reason IS NULL"), "file").select(
         "file",
         "block",
+        "id",
         F.col("start_ts").alias("begins"),
         *[F.coalesce(_carried(sums, F.sum(f"n_{i}")), F.lit(0)).alias(f"n_{i}") for i in range(3)],
         F.coalesce(_carried(sums, F.sum("sum")), F.lit(0)).alias("sum"),
     )
 
     def placed(i: int, kind: str) -> DataFrame:
-        rows = numbered.where(F.col("kind") == kind).join(offsets, ["file", "block"])
+        rows = numbered.where(F.col("kind") == kind).drop("id").join(offsets, ["file", "block"])
         return rows.withColumn("pos", (F.col("n") + F.col(f"n_{i}") - 1).cast("int"))
 
-    delays = placed(0, DELAY).select("file", "pos", "delay", (F.col("elapsed") + F.col("sum")).alias("elapsed"), "begins")
+    delays = placed(0, DELAY).select("file", "pos", "delay", (F.col("elapsed") + F.col("sum")).alias("elapsed"), "id", "begins")
     changes = (
         placed(1, CHANGE)
         .select("file", "pos", F.col("device").alias("id_device"), F.col("property").alias("property_device"), F.col("value").alias("value_property_device"))
         .join(delays, ["file", "pos"])
         .select(
-            "file", "pos", "delay", "elapsed", from_seconds(seconds(F.col("begins")) + F.col("elapsed")).alias("event_ts"),
+            "file", "id", "pos", "delay", "elapsed", from_seconds(seconds(F.col("begins")) + F.col("elapsed")).alias("event_ts"),
             "id_device", "property_device", "value_property_device",
         )
     )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows_of
+from roomtrace.plans import catalog
 from roomtrace.sources import behaviour as B
 from roomtrace.sources.large import large_scripts, read_tags
 
@@ -96,6 +97,23 @@ def test_scripts_that_cannot_be_used(spark, tmp_path, small_splits, strict):
     assert len(refused) == (9 if strict else 8)
 
 
+def test_scripts_of_many_houses_lie_in_one_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_dir", lambda spark, name: str(tmp_path / name))
+    changes = catalog.QUERIES["large_scripts"](spark, "/root/testdata/sf0.001")
+    houses = changes.select("house_id").distinct().count()
+    folder = tmp_path / "large-scripts"
+    assert len(list(folder.glob("*.txt"))) == houses > 1
+    assert not [f for f in folder.iterdir() if f.is_dir()]
+
+
+def test_changes_have_the_id_of_their_script(spark, tmp_path, small_splits):
+    texts = {f"{n}.bhv": script(n, 300).replace("<behavior ", f"<behavior id='{n}&amp;' ") for n in range(2)}
+    write(tmp_path / "in", {**texts, "none.bhv": script(2, 3)})
+    got, _ = compare(spark, str(tmp_path / "in"))
+    ids = {(r.file.rsplit("/", 1)[1], r.id) for r in got.changes.select("file", "id").distinct().collect()}
+    assert ids == {("0.bhv", "0&"), ("1.bhv", "1&"), ("none.bhv", None)}
+
+
 def test_no_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     got = large_scripts(spark, str(tmp_path / "in"))
