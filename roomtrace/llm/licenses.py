@@ -11,7 +11,9 @@ Retrieved windows, widened by m/4 on either side, are verified: at least
 
 Texts without any *probe* word skip the windows.  Probes are words of a template of
 which one must be there if 0.8 of its shingles are, so no match is lost
-(``probes``).  Everything stays in the row of its text: no shuffle, no join, and
+(``probes``).  A window that agrees with a template in a min-hash holds the shingle
+it is of, so windows without any shingle of the templates are not hashed either; no
+match is lost by that.  Everything stays in the row of its text: no shuffle, no join, and
 built-in functions only.
 
 Defined cases: null and empty text have no matches; windows that overlap may report one
@@ -104,17 +106,22 @@ def _matches(words: Column, size: int, classes: dict[int, dict[str, tuple[list[i
         lambda w, i: F.xxhash64(F.concat_ws(" ", w, *(F.get(words, i + k) for k in range(1, size)))),
     )
 
-    def of_class(hashes: Column, minima: Column, m: int, templates: dict[str, tuple[list[int], list[int]]]) -> Column:
+    def own_hashes(templates: dict[str, tuple[list[int], list[int]]]) -> Column:
+        return F.array(*(F.lit(h).cast("bigint") for h in sorted({h for own, _ in templates.values() for h in own})))
+
+    def of_class(hashes: Column, near: Column, m: int, templates: dict[str, tuple[list[int], list[int]]]) -> Column:
         step = stride(m)
         places = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)), F.lit(step))
 
-        windows = F.transform(
-            places,
-            lambda p: F.struct(
-                p.alias("at"),
-                F.array(*(F.xxhash64(F.array_min(F.slice(minima[b], p + 1, m)), F.lit(b)) for b in range(BANDS))).alias("keys"),
-            ),
-        )
+        def keys_of(window: Column) -> Column:
+            return F.array(*(F.xxhash64(F.array_min(permuted(window, b)), F.lit(b)) for b in range(BANDS)))
+
+        def windows_of(held: Column) -> Column:
+            chosen = F.filter(places, lambda p: F.exists(held, lambda i: (i >= p) & (i < p + m)))
+            return F.transform(chosen, lambda p: F.struct(p.alias("at"), _bound(F.slice(hashes, p + 1, m), keys_of).alias("keys")))
+
+        own_of_class = own_hashes(templates)
+        windows = _bound(F.filter(near, lambda i: F.array_contains(own_of_class, F.get(hashes, i))), windows_of)
 
         def of_template(name: str, hashed: tuple[list[int], list[int]], found: Column) -> Column:
             own, keys = (F.array(*(F.lit(h).cast("bigint") for h in part)) for part in hashed)
@@ -139,8 +146,10 @@ def _matches(words: Column, size: int, classes: dict[int, dict[str, tuple[list[i
         return _bound(windows, lambda found: F.concat(*(of_template(n, s, found) for n, s in templates.items())))
 
     def scan(hashes: Column) -> Column:
-        minima = F.array(*(permuted(hashes, b) for b in range(BANDS)))
-        found = _bound(minima, lambda mins: F.concat(*(of_class(hashes, mins, m, own) for m, own in classes.items())))
+        own_of_all = own_hashes({n: hashed for own in classes.values() for n, hashed in own.items()})
+        places = F.sequence(F.lit(0), F.greatest(F.size(hashes) - 1, F.lit(0)))
+        near = F.filter(places, lambda i: F.array_contains(own_of_all, F.get(hashes, i)))
+        found = _bound(near, lambda near: F.concat(*(of_class(hashes, near, m, own) for m, own in classes.items())))
         return F.when(F.size(hashes) > 0, found)
 
     return _bound(hashes, scan)

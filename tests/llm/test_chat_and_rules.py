@@ -190,3 +190,18 @@ def test_rules_on_odd_rows(spark, odd, empty):
     assert Q.keep(odd, labels).columns == odd.columns
     assert Q.keep(odd, labels).count() == 0
     assert Q.keep(empty, labels).count() == 0
+
+
+@pytest.mark.parametrize("name", ["BSD", "MIT-text", "GPL-3.0", "proprietary"])
+def test_windows_that_are_not_skipped_find_a_template_at_every_place(spark, name):
+    """Shingles of other templates lie around it, and a fifth of its own may be missing."""
+    words = licenses.words_of(licenses.TEMPLATES[name])
+    kept = words[: len(words) - (len(licenses.shingles_of(licenses.TEMPLATES[name])) // 5)]
+    other = licenses.words_of(licenses.TEMPLATES["Apache-2.0"])[:6]
+    texts = [(i, " ".join([f"w{k}" for k in range(i)] + kept + other + ["x"] * 40)) for i in range(25)]
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    got = {r.doc_id: {(m.license, m.start) for m in r.matches if m.license == name} for r in found.collect()}
+    m = len(licenses.shingles_of(licenses.TEMPLATES[name]))
+    step = licenses.stride(m)
+    for i in range(25):
+        assert got[i] and all(i - m - step < start <= i + m + step and start % step == 0 for _, start in got[i])
